@@ -18,7 +18,7 @@ from labelmill.operators.records import prefixed, to_json_lines, to_records
 from labelmill.plans import jobs
 from labelmill.sources.members import Member, load_samples, load_separated, member_counts, separate
 from labelmill.sources.sinks import export
-from labelmill.sources.staging import shared_folder
+from labelmill.sources.staging import Staging, shared_folder
 
 LABELS = ("keep", "drop")
 PROMPT = "Answer keep or drop."
@@ -42,6 +42,11 @@ def _scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/labelmill/{uuid.uuid4().hex}"
 
 
+def _cores(spark: SparkSession) -> int:
+    """Tasks for costly work on the given tables, which are one file with one row group each."""
+    return spark.sparkContext.defaultParallelism
+
+
 def samples(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as samples: 20 members, one of them ``new``; labels from the review table."""
     labels = _table(spark, sf, "labels")
@@ -57,7 +62,7 @@ def samples(spark: SparkSession, sf: str) -> DataFrame:
             F.col("doc_id").alias("seq"),
             F.when(F.col("source") == "src19", "new").otherwise(F.col("source")).alias("sheet"),
             strip_text(F.col("text")).alias("input"),
-            strip_text(label).alias("output"),
+            label.alias("output"),
         )
     )
 
@@ -72,9 +77,14 @@ def all_clean(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean(tagged, LABELS, within=["is_new"])
 
 
+def staged_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """``all_clean``, written down for operators that read their input several times."""
+    return Staging(spark).table(all_clean(spark, sf), "cleaned")
+
+
 def sets(spark: SparkSession, sf: str) -> DataFrame:
     """Split regular rows with the new ones injected."""
-    regular, new = separate(all_clean(spark, sf).drop("is_new"))
+    regular, new = separate(staged_clean(spark, sf).drop("is_new"))
     return split.inject_new(split.split_dataset(regular), new)
 
 
@@ -182,12 +192,14 @@ def label_counts(spark, sf):
 
 @query
 def stratified_split(spark, sf):
-    return split.stratified_split(regular_clean(spark, sf)).select("seq", "output", "split")
+    rows = staged_clean(spark, sf).where("not is_new")
+    return split.stratified_split(rows).select("seq", "output", "split")
 
 
 @query
 def random_split(spark, sf):
-    return split.random_split(regular_clean(spark, sf)).select("seq", "output", "split")
+    rows = staged_clean(spark, sf).where("not is_new")
+    return split.random_split(rows).select("seq", "output", "split")
 
 
 @query
@@ -404,14 +416,16 @@ def score_range(spark, sf):
 def conflict_lexical(spark, sf):
     queries, refs = _reviewed(spark, sf)
     return _rounded(
-        similarity.topk_lexical(queries, refs, 1, 0.9, "doc_id", "doc_id", "text")
+        similarity.topk_lexical(queries, refs, 1, 0.9, "doc_id", "doc_id", "text", _cores(spark))
     )
 
 
 @query
 def topk3_lexical(spark, sf):
     queries, refs = _reviewed(spark, sf)
-    return _rounded(similarity.topk_lexical(queries, refs, 3, None, "doc_id", "doc_id", "text"))
+    return _rounded(
+        similarity.topk_lexical(queries, refs, 3, None, "doc_id", "doc_id", "text", _cores(spark))
+    )
 
 
 @query
@@ -433,7 +447,7 @@ def _weights(vectors: DataFrame, *ids: str) -> DataFrame:
 @query
 def embed_hashed(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    return _weights(embed(docs, HashedTokenEncoder(DIM), "text"), "doc_id")
+    return _weights(embed(docs, HashedTokenEncoder(DIM), "text", tasks=_cores(spark)), "doc_id")
 
 
 @query

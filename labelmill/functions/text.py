@@ -38,9 +38,12 @@ READER_NULL_TOKENS = (
 def strip_text(col: Column) -> Column:
     """Cast to string and strip Unicode whitespace at both ends.
 
-    Booleans and large doubles take Spark's spelling (``true``, ``1.0E20``).
+    Booleans and large doubles take Spark's spelling (``true``, ``1.0E20``). ``btrim`` with a
+    character set indexes every character of the text, so it is left to texts that need it.
     """
-    return F.btrim(col.cast("string"), F.lit(WHITESPACE))
+    text = col.cast("string")
+    blank_end = F.left(text, F.lit(1)).isin(*WHITESPACE) | F.right(text, F.lit(1)).isin(*WHITESPACE)
+    return F.when(blank_end, F.btrim(text, F.lit(WHITESPACE))).otherwise(text)
 
 
 def null_if_token(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:

@@ -28,6 +28,7 @@ from labelmill.operators.analyze import WHOLE, split_histogram
 from labelmill.operators.embed import EncoderFactory, embed, embed_cached
 from labelmill.operators.formats import RecordFormat, get_format
 from labelmill.operators.similarity import (
+    check_parameters,
     conflict_summary,
     flag,
     reported,
@@ -182,12 +183,16 @@ def convert_job(
 
 @dataclass(frozen=True)
 class ConflictRun:
-    """Flagged rows ``(seq, input, similarity, similar_text, rank)`` and one-row summaries."""
+    """Flagged rows ``(seq, input, similarity, similar_text, rank)`` and one-row summaries.
+
+    They read staged tables: call ``staging.clear()`` when done with them.
+    """
 
     flagged: DataFrame
     summary: DataFrame
     range: DataFrame
     path: str | None
+    staging: Staging
 
 
 def _distinct_texts(rows: DataFrame, id_col: str) -> DataFrame:
@@ -219,7 +224,7 @@ def conflict_job(
     """
     if encoder is None:
         raise RuntimeError("the conflict job needs an encoder")
-    flag(samples.sparkSession.createDataFrame([], "similarity double"), threshold)  # checks it
+    check_parameters(k, threshold)
     staging = Staging(samples.sparkSession)
     rows = cleaning.drop_null_rows(cleaning.blank_tokens(samples))
     query_rows = staging.table(
@@ -241,7 +246,13 @@ def conflict_job(
         "ref_vectors",
     )
     query_vectors = staging.table(
-        embed(queries.select("q_id", "input"), encoder, batch_size=batch_size), "query_vectors"
+        embed(
+            queries.select("q_id", "input"),
+            encoder,
+            batch_size=batch_size,
+            tasks=samples.sparkSession.sparkContext.defaultParallelism,
+        ),
+        "query_vectors",
     )
     texts = topk_cosine(query_vectors, ref_vectors, k)
     # A copy of a reference text ranks right behind the text's first row.
@@ -270,14 +281,19 @@ def conflict_job(
     keyed_rows = query_rows.withColumn("key", text_key(F.col("input")))
     per_text = queries.select(text_key(F.col("input")).alias("key"), "n")
     n_rows = query_rows.count()
-    flagged = (
-        salted_join(keyed_rows, by_text, "key", "seq", per_text, n_rows, rows_per_salt)
-        .select("seq", "input", reported().alias("similarity"), "similar_text", "rank")
-        .orderBy(F.desc("similarity"), "seq", "rank")
-    )
+    flagged = staging.table(
+        salted_join(keyed_rows, by_text, "key", "seq", per_text, n_rows, rows_per_salt).select(
+            "seq", "input", reported().alias("similarity"), "similar_text", "rank"
+        ),
+        "flagged",
+    ).orderBy(F.desc("similarity"), "seq", "rank")
     if output:
         write_table(flagged.select("input", "similarity", "similar_text"), output, format)
     return ConflictRun(
-        flagged, conflict_summary(flagged, n_rows, threshold, k), score_range(neighbours), output
+        flagged,
+        conflict_summary(flagged, n_rows, threshold, k),
+        score_range(neighbours),
+        output,
+        staging,
     )
 

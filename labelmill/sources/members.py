@@ -39,10 +39,12 @@ class Member:
     options: Mapping[str, str] = field(default_factory=dict)
     order_col: str | None = None
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, base: str | None = None) -> DataFrame:
         if isinstance(self.source, DataFrame):
             return self.source
-        paths = self.source if isinstance(self.source, str) else list(self.source)
+        paths = [self.source] if isinstance(self.source, str) else list(self.source)
+        if base:
+            paths = [f"{base}/{p}" for p in paths]
         try:
             return spark.read.format(self.format).options(**self.options).load(paths)
         except AnalysisException as e:
@@ -85,18 +87,20 @@ def load_samples(
     input_col: str = "input",
     output_col: str = "output",
     null_tokens: Sequence[str] = (),
+    base: str | None = None,
 ) -> DataFrame:
     """All members that have both columns, projected, cast to string, stripped and united.
 
     A member without a required column is skipped with a warning; a missing path raises
     ``FileNotFoundError``; no usable member raises ``ValueError``. ``null_tokens`` is for sources
     whose reader should also treat texts such as ``NA`` as missing (``READER_NULL_TOKENS``).
+    ``base`` is the folder that member paths are relative to.
     """
     staging = Staging(spark)
     parts, n_files = [], 0
     for no, (name, given) in enumerate(members.items()):
         member = given if isinstance(given, Member) else Member(given)
-        df = member.read(spark)
+        df = member.read(spark, base)
         missing = [c for c in (input_col, output_col) if c not in df.columns]
         if missing:
             log.warning("member %r lacks columns %s, skipped", name, missing)
