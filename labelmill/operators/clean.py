@@ -66,37 +66,43 @@ def validation_metrics(
     labels: Sequence[str] = LEGAL_LABELS,
     by: Sequence[str] = (),
     tokens: Sequence[str] = NULL_TOKENS,
+    cleaned: DataFrame | None = None,
 ) -> DataFrame:
     """The counters of ``clean`` on the same rows: one row, or one per group of ``by``.
 
     Rows shrink to (verdict, text key) and are counted before the shuffle, so neither long texts
-    nor frequent ones travel.
+    nor frequent ones travel. Where the ``cleaned`` rows are at hand, written down, they are
+    counted instead of telling texts apart again.
     """
-    marked = blank_tokens(df, tokens).select(
-        *by,
+    verdict = (
         F.when(~is_complete(), "null")
         .when(~F.col("output").isin(*labels), "illegal")
         .otherwise("legal")
-        .alias("verdict"),
-        "input",
-    )
-    texts = (
-        marked.withColumn("key", F.when(F.col("verdict") == "legal", text_key(F.col("input"))))
-        .groupBy(*by, "verdict", "key")
-        .agg(F.count("*").alias("n"))
     )
+    marked = blank_tokens(df, tokens).select(*by, verdict.alias("verdict"), "input")
+    if cleaned is None:
+        key = F.when(F.col("verdict") == "legal", text_key(F.col("input")))
+        texts = marked.groupBy(*by, "verdict", key.alias("key")).agg(F.count("*").alias("n"))
+        parts = texts.select(*by, "verdict", "n", F.col("key").isNotNull().cast("long").alias("kept"))
+    else:
+        read = marked.groupBy(*by, "verdict").agg(F.count("*").alias("n"))
+        kept = cleaned.groupBy(*by).agg(F.count("*").alias("kept"))
+        parts = read.withColumn("kept", F.lit(0).cast("long")).unionByName(
+            kept.withColumns({"verdict": F.lit("legal"), "n": F.lit(0).cast("long")})
+        )
 
-    def rows(verdict: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("verdict") == verdict, F.col("n"))), F.lit(0))
+    def rows(which: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("verdict") == which, F.col("n"))), F.lit(0))
 
+    final = F.coalesce(F.sum("kept"), F.lit(0))
     return (
-        texts.groupBy(*by)
+        parts.groupBy(*by)
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("raw_count"),
             rows("null").alias("null_count"),
             rows("illegal").alias("invalid_label_count"),
-            (rows("legal") - F.count("key")).alias("duplicate_count"),
-            F.count("key").alias("final_count"),
+            (rows("legal") - final).alias("duplicate_count"),
+            final.alias("final_count"),
         )
         .withColumn("removed_count", F.col("raw_count") - F.col("final_count"))
         .withColumn("is_valid", F.col("final_count") > 0)

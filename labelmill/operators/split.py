@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelmill.defaults import SEED, SplitRatios
+from labelmill.operators.skew import salted_join
 from labelmill.sources.staging import Staging
 
 log = logging.getLogger(__name__)
@@ -37,8 +38,9 @@ def _share(count: str, total: str, draw: str, tie_order: str) -> Column:
     Integer arithmetic in DECIMAL(38): exact for any table size.
     """
     wide = F.col(count).cast("decimal(19,0)") * F.col(draw).cast("decimal(19,0)")
-    rest = wide % F.col(total)
-    floor = ((wide - rest) / F.col(total)).cast("long")
+    whole = F.greatest(F.col(total), F.lit(1))
+    rest = wide % whole
+    floor = ((wide - rest) / whole).cast("long")
     spare = F.col(draw) - F.sum(floor).over(W.partitionBy())
     place = F.row_number().over(W.orderBy(F.desc(rest), F.col(tie_order)))
     return floor + (place <= spare).cast("long")
@@ -77,20 +79,22 @@ class _Cut:
     Rows of a stratum are ordered by the md5 of (seed, seq). The first q_test of them are test,
     the next q_val val, the others train. Counting the rows per leading digits of the key shows
     in which bucket each cut-off falls, and only that bucket's rows are numbered. Tagging a row
-    then means comparing its key with its stratum's two cut-offs.
+    then means comparing its key with its stratum's two cut-offs. Counts and cut-offs are written
+    down, so that using the result several times never repeats the passes that found them.
     """
 
     def __init__(
         self, df: DataFrame, stratum: Column, ratios: SplitRatios, seed: int, digits: int
     ) -> None:
         self.df, self.stratum, self.seed = df, stratum, seed
+        self.staging = Staging(df.sparkSession)
         self.keyed = df.select(
             stratum.alias("stratum"), _order_key(seed).alias("h"), "seq"
         ).withColumn("b", F.substring("h", 1, digits))
         counts = self.keyed.groupBy("stratum", "b").agg(F.count("*").alias("rows"))
-        self.buckets = Staging(df.sparkSession).table(counts, "buckets")
+        self.buckets = self.staging.table(counts, "buckets")
         per_stratum = self.buckets.groupBy("stratum").agg(F.sum("rows").alias("rows"))
-        self.quotas = split_quotas(per_stratum, ratios)
+        self.quotas = self.staging.table(split_quotas(per_stratum, ratios), "quotas")
         self.sizes = self.quotas.agg(
             F.count("*").alias("strata"),
             F.min("rows").alias("smallest"),
@@ -111,28 +115,27 @@ class _Cut:
             return f"a split has fewer rows than there are labels ({s.strata})"
         return None
 
-    def tag(self) -> DataFrame:
-        few = self.sizes.strata <= BROADCAST_LABELS
-
-        def small(table: DataFrame) -> DataFrame:
-            return F.broadcast(table) if few else table
-
+    def _cuts(self, few: bool) -> DataFrame:
+        """(stratum, test, val): the (h, seq) of the last test row and of the last val row."""
         before = W.partitionBy("stratum").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-        cut_at = F.explode(
-            F.create_map(
-                F.lit("test"), F.col("q_test"), F.lit("val"), F.col("q_test") + F.col("q_val")
-            )
-        ).alias("cut", "place")
+        places = self.quotas.select(
+            "stratum",
+            F.explode(
+                F.create_map(
+                    F.lit("test"), F.col("q_test"), F.lit("val"), F.col("q_test") + F.col("q_val")
+                )
+            ).alias("cut", "place"),
+        )
         cut_buckets = (
             self.buckets.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-            .join(small(self.quotas.select("stratum", cut_at)), "stratum")
+            .join(places, "stratum")
             .where("place > before and place <= before + rows")
-            .select("stratum", "b", "cut", F.col("place") - F.col("before"), "before")
-            .toDF("stratum", "b", "cut", "place", "before")
+            .select("stratum", "b", "cut", (F.col("place") - F.col("before")).alias("place"))
         )
+        # A bucket holds a 65,536th of its label, so no bucket is hot even where a label is.
         inside = W.partitionBy("stratum", "b", "cut").orderBy("h", "seq")
-        cuts = (
-            self.keyed.join(small(cut_buckets), ["stratum", "b"])
+        return (
+            self.keyed.join(F.broadcast(cut_buckets) if few else cut_buckets, ["stratum", "b"])
             .withColumn("rn", F.row_number().over(inside))
             .where("rn = place")
             .groupBy("stratum")
@@ -143,19 +146,25 @@ class _Cut:
                 )
             )
         )
+
+    def tag(self) -> DataFrame:
+        few = self.sizes.strata <= BROADCAST_LABELS
+        cuts = self.staging.table(self._cuts(few), "cuts")
+        all_cuts = self.quotas.select("stratum", F.col("rows").alias("n")).join(
+            cuts, "stratum", "left"
+        )
         here = F.struct(F.col("_h").alias("h"), F.col("seq"))
-        kept = list(self.df.columns)
-        return (
-            self.df.withColumns({"stratum": self.stratum, "_h": _order_key(self.seed)})
-            .join(small(cuts), "stratum", "left")
-            .withColumn(
-                "split",
-                F.when(here <= F.col("test"), "test")
-                .when(here <= F.col("val"), "val")
-                .otherwise("train"),
+        rows = self.df.withColumns({"stratum": self.stratum, "_h": _order_key(self.seed)})
+        if few:
+            placed = rows.join(F.broadcast(all_cuts), "stratum")
+        else:
+            placed = salted_join(
+                rows, all_cuts, "stratum", "seq", all_cuts.select("stratum", "n"), self.sizes.n
             )
-            .select(*kept, "split")
+        split = (
+            F.when(here <= F.col("test"), "test").when(here <= F.col("val"), "val").otherwise("train")
         )
+        return placed.select(*self.df.columns, split.alias("split"))
 
 
 def stratified_split(

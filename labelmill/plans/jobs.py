@@ -75,7 +75,7 @@ def _cleaned(
     """Cleaned rows, written once, and the counters; regular and new rows are kept apart."""
     tagged = samples.withColumn("is_new", is_new)
     rows = staging.table(cleaning.clean(tagged, labels, within=["is_new"]), "cleaned")
-    counted = cleaning.validation_metrics(tagged, labels, by=["is_new"]).collect()
+    counted = cleaning.validation_metrics(tagged, labels, by=["is_new"], cleaned=rows).collect()
     metrics = {"new" if m.is_new else "regular": m for m in counted}
     if "regular" not in metrics or not metrics["regular"].is_valid:
         raise EmptyResult(

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from labelmill.defaults import NEW_SHEET
 from labelmill.functions.text import null_if_token, strip_text
+from labelmill.operators.skew import salted_join
 from labelmill.sources.staging import Staging
 
 log = logging.getLogger(__name__)
 
-# Above this many files the table of file offsets is joined instead of broadcast (about 20 MB).
+# Up to this many files or blocks their table of offsets is broadcast (about 20 MB).
 BROADCAST_FILES = 100_000
 
 
@@ -75,10 +76,33 @@ def _placed(df: DataFrame, member: Member, keep: list[Column], staging: Staging,
         ),
         f"member_{no}",
     )
-    blocks = raw.groupBy("file", "block").agg(F.min("mono").alias("mono0"))
+    blocks = staging.table(
+        raw.groupBy("file", "block").agg(F.min("mono").alias("mono0"), F.count("*").alias("n")),
+        f"blocks_{no}",
+    )
     pos = (F.col("block") + F.col("mono") - F.col("mono0")).alias("pos")
     names = [c for c in raw.columns if c not in ("file", "block", "mono")]
-    return raw.join(blocks, ["file", "block"]).select("file", pos, *names), files
+    joined = _with_file_table(raw, blocks, ["file", "block"], blocks.count())
+    return joined.select("file", pos, *names), files
+
+
+def _with_file_table(rows: DataFrame, table: DataFrame, on: list[str], size: int) -> DataFrame:
+    """``rows`` with the columns of a table (``on``, n, …) of one row per file or block, n rows
+    each. One unsplittable file may hold a third of all rows, hence the salt."""
+    if size <= BROADCAST_FILES:
+        return rows.join(F.broadcast(table), on)
+    key = F.to_json(F.struct(*on))
+    total = table.agg(F.sum("n")).first()[0]
+    keyed = table.withColumn("key", key)
+    joined = salted_join(
+        rows.withColumns({"key": key, "row": F.struct(*rows.columns)}).select("key", "row", *on),
+        keyed.drop(*on),
+        "key",
+        "row",
+        keyed.select("key", "n"),
+        total,
+    )
+    return joined.select("row.*", *(c for c in table.columns if c not in on))
 
 
 def load_samples(
@@ -122,18 +146,17 @@ def load_samples(
     rows = reduce(DataFrame.unionByName, parts)
     # One row per file: its rows start after those of all files before it.
     before = W.orderBy("member", "file").rowsBetween(W.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("span").over(before), F.lit(0)).alias("start")
     starts = (
         rows.groupBy("member", "file")
-        .agg((F.max("pos") + 1).alias("span"))
-        .select("member", "file", F.coalesce(F.sum("span").over(before), F.lit(0)).alias("start"))
+        .agg((F.max("pos") + 1).alias("span"), F.count("*").alias("n"))
+        .select("member", "file", start, "n")
     )
-    if n_files <= BROADCAST_FILES:
-        starts = F.broadcast(starts)
     if null_tokens:
         rows = rows.withColumns(
             {c: null_if_token(F.col(c), null_tokens) for c in ("input", "output")}
         )
-    return rows.join(starts, ["member", "file"]).select(
+    return _with_file_table(rows, starts, ["member", "file"], n_files).select(
         (F.col("start") + F.col("pos")).alias("seq"), "sheet", "input", "output"
     )
 

@@ -14,6 +14,8 @@ def test_fixture_rows(samples):
     m = clean.validation_metrics(regular).first()
     assert (m.raw_count, m.null_count, m.invalid_label_count, m.duplicate_count) == (12, 4, 2, 1)
     assert (m.final_count, m.removed_count, m.is_valid) == (5, 7, True)
+    counted = clean.validation_metrics(regular, cleaned=clean.clean(regular)).first()
+    assert counted == m
     errors, warnings = clean.validation_messages(m)
     assert not errors and len(warnings) == 3
     assert "12 read, 5 kept" in clean.validation_summary(m)
@@ -28,6 +30,8 @@ def test_empty_table(samples):
     m = clean.validation_metrics(samples.where("false")).first()
     assert (m.raw_count, m.null_count, m.final_count, m.is_valid) == (0, 0, 0, False)
     assert clean.validation_messages(m)[0]
+    none = samples.where("false")
+    assert clean.validation_metrics(none, cleaned=none).first() == m
 
 
 def test_illegal_values(samples):

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from labelmill.sources import members as members_module
 from labelmill.functions.text import READER_NULL_TOKENS, WHITESPACE, strip_text
 from labelmill.sources.members import (
     Member,
@@ -22,7 +23,9 @@ def write(spark, rows, path, files, format="parquet"):
 
 
 @pytest.mark.parametrize("format", ["parquet", "csv", "json"])
-def test_order_over_members_files_and_blocks(spark, tmp_path, format):
+@pytest.mark.parametrize("broadcast_files", [100_000, 0])
+def test_order_over_members_files_and_blocks(spark, tmp_path, monkeypatch, format, broadcast_files):
+    monkeypatch.setattr(members_module, "BROADCAST_FILES", broadcast_files)
     write(spark, 3000, f"{tmp_path}/b", 3, format)
     write(spark, 500, f"{tmp_path}/a", 2, format)
     options = {"header": "true"} if format == "csv" else {}

@@ -82,9 +82,14 @@ def test_matches_a_plain_ranking(spark):
 def test_tagging_does_not_shuffle_the_rows(spark):
     df = table(spark, ("a", 50), ("b", 50)).withColumn("payload", F.lit("x"))
     plan = split.split_dataset(df)._jdf.queryExecution().executedPlan().toString()
-    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert shuffled and "payload" not in "".join(shuffled)
-    assert "SortMergeJoin" not in plan
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_many_labels_are_joined_with_salt(spark, monkeypatch):
+    df = table(spark, ("hot", 200), *((f"l{i}", 10) for i in range(20)))
+    want = sorted(map(tuple, split.split_dataset(df).collect()))
+    monkeypatch.setattr(split, "BROADCAST_LABELS", 3)
+    assert sorted(map(tuple, split.split_dataset(df).collect())) == want
 
 
 @pytest.mark.parametrize("bad", [(0.8, 0.1, 0.2), (0.9, 0.1, 0.0), (1.2, -0.1, -0.1)])
