@@ -123,7 +123,8 @@ def load_separated_counts(spark, sf):
 
 @query
 def member_row_counts(spark, sf):
-    return member_counts(samples(spark, sf))
+    counts = member_counts(samples(spark, sf))
+    return counts.withColumn("sheet", F.coalesce("sheet", F.lit("all")))
 
 
 # Cleaning
@@ -142,7 +143,11 @@ def normalize_text(spark, sf):
 def null_tokens(spark, sf):
     spelled = samples(spark, sf).withColumn("output", F.coalesce("output", F.lit("nan")))
     blanked = clean.blank_tokens(spelled)
-    return blanked.select("seq", "output", F.col("input").isNull().alias("input_missing"))
+    return blanked.select(
+        "seq",
+        F.coalesce("output", F.lit("-")).alias("output"),
+        F.col("input").isNull().alias("input_missing"),
+    )
 
 
 @query
@@ -227,7 +232,8 @@ def inject_new(spark, sf):
 
 @query
 def split_summary(spark, sf):
-    return split.split_summary(sets(spark, sf))
+    summary = split.split_summary(sets(spark, sf))
+    return summary.withColumn("output", F.coalesce("output", F.lit("all")))
 
 
 @query
@@ -285,15 +291,19 @@ def record_ark(spark, sf):
 
 
 def _read_back(spark: SparkSession, path: str, schema: str, user: str) -> DataFrame:
+    """Records, ids (where the format has them) and characters per written split."""
+    ids = (
+        F.min("r.id").alias("first_id"),
+        F.max("r.id").alias("last_id"),
+        F.count_distinct("r.id").alias("ids"),
+    )
     return (
         spark.read.text(path)
         .withColumn("r", F.from_json("value", schema))
         .groupBy("split")
         .agg(
             F.count("r").alias("records"),
-            F.min("r.id").alias("first_id"),
-            F.max("r.id").alias("last_id"),
-            F.count_distinct("r.id").alias("ids"),
+            *(ids if schema.startswith("id ") else ()),
             F.sum(F.length(F.expr(user))).alias("chars"),
         )
     )
@@ -478,7 +488,7 @@ def job_split(spark, sf):
     run = jobs.split_job(
         samples(spark, sf), _scratch(spark), labels=LABELS, prompt=PROMPT, fmt="openai"
     )
-    schema = "id long, messages array<struct<role string, content string>>"
+    schema = "messages array<struct<role string, content string>>"
     return _read_back(spark, run.records_path, schema, "r.messages[1].content")
 
 

@@ -130,12 +130,10 @@ def turns(user: str, prefix: str = "") -> str:
 
 
 def records(rows: str, chars: str = "length(input)", ids: bool = True) -> str:
-    first, last, distinct = (
-        ("min(id)", "max(id)", "count(distinct id)") if ids else ("null::bigint", "null::bigint", "0")
-    )
+    id_columns = "min(id) as first_id, max(id) as last_id, count(distinct id) as ids,"
     return f"""
-select split, count(*) as records, {first} as first_id, {last} as last_id, {distinct} as ids,
-       sum({chars}) as chars
+select split, count(*) as records, {id_columns if ids else ""}
+       sum({chars})::bigint as chars
 from (select *, row_number() over (partition by split order by injected, seq) as id
       from {rows}) group by split"""
 
@@ -218,16 +216,16 @@ ORACLES: dict[str, str] = {
     "load_members": f"""{with_tables(MEMBERS)}
 select seq, sheet, md5(input) as input_md5, output as role from members""",
     "load_separated_counts": f"""{with_tables(MEMBERS)}
-select if(sheet = 'new', 'new', 'regular') as part, count(*) as rows, sum(length(input)) as chars
+select if(sheet = 'new', 'new', 'regular') as part, count(*) as rows, sum(length(input))::bigint as chars
 from members group by 1""",
     "member_row_counts": f"""{with_tables(SAMPLES)}
-select sheet, count(*) as rows from samples group by rollup (sheet)""",
+select coalesce(sheet, 'all') as sheet, count(*) as rows from samples group by rollup (sheet)""",
     "normalize_text": f"""
 select doc_id, length(t) as chars, md5(t) as text_md5
 from (select doc_id, trim('　 ' || chr(9) || chr(31) || text || ' ' || chr(13) || chr(10) || ' ', {WS}) as t
       from documents)""",
     "null_tokens": f"""{with_tables(SAMPLES)}
-select seq, if(coalesce(output, 'nan') in ({TOKENS}), null, output) as output,
+select seq, if(coalesce(output, 'nan') in ({TOKENS}), '-', output) as output,
        coalesce(input in ({TOKENS}), true) as input_missing from samples""",
     "drop_null_rows": f"{with_tables(SAMPLES, COMPLETE)} select seq, sheet, output from complete",
     "legal_labels": f"""{with_tables(SAMPLES, COMPLETE)}
@@ -265,7 +263,8 @@ select seq, output, split from tagged""",
 select seq, output, split from tagged""",
     "inject_new": f"{with_tables(*BASE, SETS)} select split, injected, seq, output from sets",
     "split_summary": f"""{with_tables(*BASE, SETS)}
-select split, output, count(*) as rows from sets group by grouping sets ((split, output), (split))""",
+select split, coalesce(output, 'all') as output, count(*) as rows
+from sets group by grouping sets ((split, output), (split))""",
     "record_ids": f"""{with_tables(*BASE, SETS)}
 select split, row_number() over (partition by split order by injected, seq) as id, seq from sets""",
     "prefix_input": f"""{with_tables(*BASE)}
