@@ -30,7 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    QUERIES[run.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -101,7 +101,7 @@ def _members(spark: SparkSession, sf: str) -> dict[str, Member | str]:
 
 
 @query
-def load_members(spark, sf):
+def load_samples_query(spark, sf):
     rows = load_samples(spark, _members(spark, sf), "text", "role")
     return rows.select(
         "seq", "sheet", F.md5("input").alias("input_md5"), F.col("output").alias("role")
@@ -122,7 +122,7 @@ def load_separated_counts(spark, sf):
 
 
 @query
-def member_row_counts(spark, sf):
+def member_counts_query(spark, sf):
     counts = member_counts(samples(spark, sf))
     return counts.withColumn("sheet", F.coalesce("sheet", F.lit("all")))
 
@@ -439,7 +439,7 @@ def topk3_lexical(spark, sf):
 
 
 @query
-def l2_normalized(spark, sf):
+def l2_normalize_query(spark, sf):
     scaled = F.transform("embedding", lambda x: x.cast("double") * (F.col("label") * 2))
     return _table(spark, sf, "embeddings").select(
         "vec_id", F.posexplode(l2_normalize(scaled)).alias("pos", "value")

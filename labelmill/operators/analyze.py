@@ -22,6 +22,12 @@ MEAN, MAX, MIN = "  平均值   : %.1f", "  最大值   : %d", "  最小值   :
 P50, P90, P99 = "  中位数   : %.1f", "  P90      : %.1f", "  P99      : %.1f"
 
 
+def _length(df: DataFrame) -> Column:
+    """Text length; tables that carry it spare the report the reading of all texts."""
+    length = F.col("length") if "length" in df.columns else F.length("input").cast("long")
+    return length.alias("length")
+
+
 def histogram(df: DataFrame, label_col: str = "output") -> DataFrame:
     """Rows per (dataset, label, text length): all that the reports need, in one small table.
 
@@ -29,9 +35,9 @@ def histogram(df: DataFrame, label_col: str = "output") -> DataFrame:
     """
     if "dataset" not in df.columns:
         df = df.withColumn("dataset", F.lit(WHOLE))
-    return df.groupBy(
-        "dataset", F.col(label_col).alias("label"), F.length("input").cast("long").alias("length")
-    ).agg(F.count("*").alias("rows"))
+    return df.groupBy("dataset", F.col(label_col).alias("label"), _length(df)).agg(
+        F.count("*").alias("rows")
+    )
 
 
 def split_histogram(split: DataFrame, label_col: str = "output") -> DataFrame:
@@ -39,15 +45,9 @@ def split_histogram(split: DataFrame, label_col: str = "output") -> DataFrame:
 
     An injected row is in two splits but only once in the whole data.
     """
-    per_split = (
-        split.groupBy(
-            "split",
-            "injected",
-            F.col(label_col).alias("label"),
-            F.length("input").cast("long").alias("length"),
-        )
-        .agg(F.count("*").alias("rows"))
-    )
+    per_split = split.groupBy(
+        "split", "injected", F.col(label_col).alias("label"), _length(split)
+    ).agg(F.count("*").alias("rows"))
     copy = F.col("injected") & (F.col("split") != "train")
     datasets = F.when(copy, F.array("split")).otherwise(F.array("split", F.lit(WHOLE)))
     return (
@@ -102,16 +102,7 @@ def label_lines(labels: DataFrame) -> DataFrame:
 
 def report_lines(hist: DataFrame) -> DataFrame:
     """(dataset, line_no, line): the report of each data set as text."""
-    stats = length_stats(hist)
-
-    def lines(first: int, *texts: Column) -> DataFrame:
-        rows = F.posexplode(F.array(*texts)).alias("i", "line")
-        return stats.select("dataset", rows).select(
-            "dataset", (F.col("i") + first).cast("long").alias("line_no"), "line"
-        )
-
-    head = lines(
-        0,
+    head = (
         F.lit(RULE),
         F.format_string(TITLE, "dataset"),
         F.lit(RULE),
@@ -119,19 +110,28 @@ def report_lines(hist: DataFrame) -> DataFrame:
         F.lit(""),
         F.lit(LABELS),
     )
-    body = label_lines(label_stats(hist)).select(
-        "dataset", (F.col("place") + 5).alias("line_no"), "line"
-    )
-    tail_start = 1 << 40
-    tail = lines(
-        tail_start,
+    tail = (
         F.lit(""),
         F.lit(LENGTHS),
         F.format_string(MEAN, _one_digit("mean")),
         F.format_string(MAX, "max"),
         F.format_string(MIN, "min"),
-        *(F.format_string(text, _one_digit(p)) for text, p in ((P50, "p50"), (P90, "p90"), (P99, "p99"))),
+        F.format_string(P50, _one_digit("p50")),
+        F.format_string(P90, _one_digit("p90")),
+        F.format_string(P99, _one_digit("p99")),
         F.lit(RULE),
     )
-    number = F.row_number().over(W.partitionBy("dataset").orderBy("line_no"))
-    return head.unionByName(body).unionByName(tail).withColumn("line_no", number.cast("long"))
+    labels = label_lines(label_stats(hist))
+    before = F.lit(len(head))
+    per_set = labels.groupBy("dataset").agg(F.count("*").alias("labels"))
+    frame = (
+        length_stats(hist)
+        .join(per_set, "dataset")
+        .select("dataset", "labels", F.posexplode(F.array(*head, *tail)).alias("i", "line"))
+    )
+    after = F.when(F.col("i") < before, 1).otherwise(F.col("labels") + 1)
+    return frame.select(
+        "dataset", (F.col("i") + after).cast("long").alias("line_no"), "line"
+    ).unionByName(
+        labels.select("dataset", (F.col("place") + before).cast("long").alias("line_no"), "line")
+    )

@@ -213,12 +213,12 @@ members as (
 RECORD_ROWS = "(select *, is_new as injected, 'data' as split from all_clean)"
 
 ORACLES: dict[str, str] = {
-    "load_members": f"""{with_tables(MEMBERS)}
+    "load_samples": f"""{with_tables(MEMBERS)}
 select seq, sheet, md5(input) as input_md5, output as role from members""",
     "load_separated_counts": f"""{with_tables(MEMBERS)}
 select if(sheet = 'new', 'new', 'regular') as part, count(*) as rows, sum(length(input))::bigint as chars
 from members group by 1""",
-    "member_row_counts": f"""{with_tables(SAMPLES)}
+    "member_counts": f"""{with_tables(SAMPLES)}
 select coalesce(sheet, 'all') as sheet, count(*) as rows from samples group by rollup (sheet)""",
     "normalize_text": f"""
 select doc_id, length(t) as chars, md5(t) as text_md5
@@ -317,7 +317,7 @@ select {python_round('min(score)', 4)} as min_similarity,
        {python_round('max(score)', 4)} as max_similarity from matches""",
     "conflict_lexical": f"{with_tables(lexical(1, '0.9'))} select {SHOWN} from matches",
     "topk3_lexical": f"{with_tables(lexical(3, '-2'))} select {SHOWN} from matches",
-    "l2_normalized": """
+    "l2_normalize": """
 select vec_id, unnest(range(len(v))) as pos,
        unnest([round(if(norm > 0, x / norm, 0), 6) for x in v]) as value
 from (select vec_id, v, sqrt(list_inner_product(v, v)) as norm

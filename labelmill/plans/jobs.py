@@ -72,9 +72,14 @@ def full_and_splits(sets: DataFrame) -> DataFrame:
 def _cleaned(
     staging: Staging, samples: DataFrame, labels: Sequence[str], is_new
 ) -> tuple[DataFrame, dict[str, Row]]:
-    """Cleaned rows, written once, and the counters; regular and new rows are kept apart."""
+    """Cleaned rows with their text lengths, written once, and the counters; regular and new rows
+    are kept apart. The counters take a pass of their own: metrics observed on the way would count
+    rows twice when a lost executor's tasks run again."""
     tagged = samples.withColumn("is_new", is_new)
-    rows = staging.table(cleaning.clean(tagged, labels, within=["is_new"]), "cleaned")
+    cleaned = cleaning.clean(tagged, labels, within=["is_new"])
+    rows = staging.table(
+        cleaned.withColumn("length", F.length("input").cast("long")), "cleaned"
+    )
     counted = cleaning.validation_metrics(tagged, labels, by=["is_new"], cleaned=rows).collect()
     metrics = {"new" if m.is_new else "regular": m for m in counted}
     if "regular" not in metrics or not metrics["regular"].is_valid:

@@ -115,15 +115,15 @@ def write_table(df: DataFrame, path: str, format: str = "parquet") -> None:
 
 def write_report(hist: DataFrame, path: str, datasets: tuple[str, ...] = DATASETS) -> None:
     """The text reports of ``datasets``, in this order, a blank line between two of them."""
-    order = F.array_position(F.array(*map(F.lit, datasets)), F.col("dataset"))
-    lines = report_lines(hist).where(F.col("dataset").isin(*datasets))
-    gaps = (
-        lines.groupBy("dataset")
-        .agg(F.lit(0).cast("long").alias("line_no"))
-        .where(F.col("dataset") != datasets[0])
-        .withColumn("line", F.lit(""))
-    )
+    place = F.array_position(F.array(*map(F.lit, datasets)), F.col("dataset"))
+    lines = report_lines(hist.where(F.col("dataset").isin(*datasets)))
+    gap = (F.col("line_no") == 1) & (place > 1)
     # A report has one line per label plus 15: one small file.
-    lines.unionByName(gaps).withColumn("place", order).repartition(1).sortWithinPartitions(
-        "place", "line_no"
-    ).select("line").write.text(path)
+    (
+        lines.withColumn("line", F.when(gap, F.concat(F.lit("\n"), "line")).otherwise(F.col("line")))
+        .withColumn("place", place)
+        .repartition(1)
+        .sortWithinPartitions("place", "line_no")
+        .select("line")
+        .write.text(path)
+    )
