@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Rows per bucket at most, since seq is unique within ``within`` and ``first``.
-BUCKET_WIDTH = 1 << 20
+BUCKET_WIDTH = 1 << 17
 
 
 def add_ids(
@@ -27,7 +27,7 @@ def add_ids(
     it first if it is costly.
     """
     within, first = list(within), list(first)
-    slots = df.withColumn("_bucket", F.floor(F.col("seq") / F.lit(width)))
+    slots = df.withColumn("_bucket", F.expr(f"seq div {width}"))
     keys = [*within, *first, "_bucket"]
     before = W.partitionBy(*within).orderBy(*first, "_bucket").rowsBetween(
         W.unboundedPreceding, -1
@@ -37,9 +37,11 @@ def add_ids(
         .agg(F.count("*").alias("_n"))
         .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
+    # Numbered before the join, which then finds its order in place: one shuffle, one sort.
     inside = F.row_number().over(W.partitionBy(*keys).orderBy("seq"))
     return (
-        slots.join(offsets, keys)
-        .withColumn(id_col, (F.col("_offset") + inside).cast("long"))
-        .drop("_bucket", "_offset")
+        slots.withColumn("_inside", inside)
+        .join(offsets, keys)
+        .withColumn(id_col, (F.col("_offset") + F.col("_inside")).cast("long"))
+        .drop("_bucket", "_offset", "_inside")
     )

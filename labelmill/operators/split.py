@@ -153,7 +153,6 @@ class _Cut:
         all_cuts = self.quotas.select("stratum", F.col("rows").alias("n")).join(
             cuts, "stratum", "left"
         )
-        here = F.struct(F.col("_h").alias("h"), F.col("seq"))
         rows = self.df.withColumns({"stratum": self.stratum, "_h": _order_key(self.seed)})
         if few:
             placed = rows.join(F.broadcast(all_cuts), "stratum")
@@ -161,9 +160,12 @@ class _Cut:
             placed = salted_join(
                 rows, all_cuts, "stratum", "seq", all_cuts.select("stratum", "n"), self.sizes.n
             )
-        split = (
-            F.when(here <= F.col("test"), "test").when(here <= F.col("val"), "val").otherwise("train")
-        )
+
+        def up_to(cut: str) -> Column:
+            same = F.col("_h") == F.col(f"{cut}.h")
+            return (F.col("_h") < F.col(f"{cut}.h")) | (same & (F.col("seq") <= F.col(f"{cut}.seq")))
+
+        split = F.when(up_to("test"), "test").when(up_to("val"), "val").otherwise("train")
         return placed.select(*self.df.columns, split.alias("split"))
 
 
