@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -10,33 +11,56 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 @functools.cache
-def _local_folder() -> str:
+def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="labelmill-")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a local session without one gets its own."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    Only a session in one process, whose driver and tasks share the disk, may go without.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    return _own_folder()
 
 
 class Staging:
-    """One run's staged tables: written once as Parquet, read back with column pruning."""
+    """One run's staged tables: written once as Parquet, read back with column pruning.
+
+    A context manager clears its tables at the end, also after an error.
+    """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/labelmill/{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.clear()
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        df.write.parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def drop(self, name: str) -> None:
+        """Delete one table that nothing reads any more."""
+        self._delete(self.path(name))
 
     def clear(self) -> None:
         """Delete this run's tables; call it once nothing reads them any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._delete(self.root)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
