@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import fingerprint, toxicity, voronoi
+from labelmill.llm import fingerprint, jaccard, toxicity, voronoi
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +47,42 @@ select query_id, rank::int as rank, vec_id, score from r where rank <= 10
 """
 
 
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents joined by 85 hundredths of their four-word shingles."""
+    return jaccard.similar_components(_table(spark, sf, "documents"), words=4, num=85, den=100)
+
+
+ORACLES["op5_ngram_jaccard"] = """
+with recursive w as (
+    select doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), x -> x <> '') as ws
+    from documents
+), s as (
+    select doc_id, case when len(ws) = 0 then []
+        when len(ws) < 4 then [array_to_string(ws, ' ')]
+        else list_distinct(list_transform(range(1, len(ws) - 2),
+            i -> array_to_string(ws[i:i + 3], ' '))) end as sh
+    from w
+), n as (select doc_id, len(sh)::bigint as n from s),
+t as (select doc_id, unnest(sh) as t from s),
+p as (
+    select a.doc_id as a, b.doc_id as b, count(*) as c
+    from t a join t b on a.t = b.t and a.doc_id <> b.doc_id group by all
+), l as (
+    select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+    where 100 * c >= 85 * (x.n + y.n - c)
+), r(doc_id, root) as (
+    select doc_id, doc_id from n
+    union
+    select l.b, r.root from r join l on l.a = r.doc_id
+)
+select n.doc_id, n.n as n_shingles, min(r.root) as component_id
+from n join r using (doc_id) group by all
+"""
+
+
 @query
 def op8_ordinal_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Expected severity and grade of every document, from a model fitted on the label table."""
