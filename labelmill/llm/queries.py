@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import fingerprint, jaccard, toxicity, voronoi
+from labelmill.llm import fingerprint, jaccard, repeats, toxicity, voronoi
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,6 +83,12 @@ from n join r using (doc_id) group by all
 """
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without byte strings of 400 that stand elsewhere too."""
+    return repeats.summary(repeats.remove_repeats(_table(spark, sf, "documents"), length=400))
+
+
 @query
 def op8_ordinal_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Expected severity and grade of every document, from a model fitted on the label table."""
