@@ -12,12 +12,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.batches import SLICE_BYTES, flat
+from labelmill.llm.ranges import in_id_ranges
 
 BUCKETS = 256
 HEADER = 4
@@ -25,8 +25,6 @@ HEADER = 4
 TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 # Differences add up to this at most: about what unrelated random texts reach.
 BOUND = 384
-FORMAT = f"{2 * (HEADER + BUCKETS // 4)} hexadecimal digits"
-RANGES_PER_PARTITION = 4
 
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
@@ -136,49 +134,6 @@ def _pieces(ids: list, column: pa.Array) -> Iterator[tuple[list, list[bytes]]]:
         yield held_ids, held
 
 
-def in_id_ranges(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``part, after, ord, doc_id, text``: documents dealt by ranges of their id.
-
-    Rows with ``after`` = 1 are the rows that open the next part that has any (the first part for
-    the last one), so that each part can see what follows its last row. Only ids pass the driver:
-    the quantiles that bound the parts, and the smallest id of each.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("ord"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
-    parts = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / parts for i in range(1, parts)]
-    cuts = rows.select("ord").approxQuantile("ord", shares, 1 / (4 * parts))
-    bounds = np.unique(np.array([int(c) for c in cuts], np.int64))
-
-    @F.pandas_udf("int")
-    def part_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), "right"))
-
-    dealt = rows.withColumn("part", part_of("ord"))
-    firsts = sorted(
-        dealt.select("part", "ord").groupBy("part").agg(F.min("ord").alias("low")).collect(),
-        key=lambda r: r.part,
-    )
-    before = {firsts[i].low: firsts[i - 1].part for i in range(len(firsts))}
-
-    @F.pandas_udf("array<int>")
-    def parts_of(ids: pd.Series) -> pd.Series:
-        own = np.searchsorted(bounds, ids.to_numpy(), "right")
-        lead = [before.get(i, -1) for i in ids]
-        return pd.Series([[p] if b < 0 else [p, b] for p, b in zip(own, lead, strict=True)])
-
-    return (
-        rows.withColumn("parts", parts_of("ord"))
-        .select(F.posexplode("parts").alias("after", "part"), "ord", "doc_id", "text")
-        .repartition("part")
-        .sortWithinPartitions("part", "after", "ord", "text")
-    )
-
-
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint of every document and of its edited text, and how alike they are.
 
@@ -230,4 +185,4 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if ready:
             yield results(ready)
 
-    return in_id_ranges(docs, id_col, text_col).mapInArrow(run, RESULT)
+    return in_id_ranges(docs, id_col, text_col, with_next=True).mapInArrow(run, RESULT)

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import fingerprint, jaccard, repeats, toxicity, voronoi
+from labelmill.llm import (
+    fingerprint,
+    jaccard,
+    packing,
+    pieces,
+    repeats,
+    simple8b,
+    toxicity,
+    voronoi,
+)
+from labelmill.sources.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +58,20 @@ select query_id, rank::int as rank, vec_id, score from r where rank <= 10
 """
 
 
+@query
+def op3_bin_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents' ids in sequences of 1024."""
+    docs = _table(spark, sf, "documents")
+    return packing.digests(packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=0))
+
+
+@query
+def op4_backtracking_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of every document, and the text decoded from them."""
+    docs = _table(spark, sf, "documents")
+    return pieces.digests(pieces.encode(docs, vocabulary("piece_bpe_32k.model")))
+
+
 @query
 def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     """Documents joined by 85 hundredths of their four-word shingles."""
@@ -97,6 +122,15 @@ def op8_ordinal_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+@query
+def op9_simple8b_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents' ids written to Simple-8b files, as they are read back."""
+    path = Staging(spark).path("simple8b")
+    docs = _table(spark, sf, "documents")
+    simple8b.write(docs, vocabulary("byte_bpe_50k.json"), end_id=2, path=path)
+    return simple8b.digests(simple8b.read(spark, path))
+
+
 @query
 def op10_quartile_digest(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.batches import LOWER, SpanHashes, Words, byte_values, flat, slices
@@ -169,8 +170,13 @@ def fit(
         .agg(F.max("g").alias("g"))
     )
     shares = {r.g: r["count"] for r in graded.groupBy("g").count().collect()}
-    order = Window.partitionBy("g").orderBy(F.xxhash64("id"), "id")
-    chosen = graded.withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_grade)
+    chosen = reduce(
+        DataFrame.unionByName,
+        (
+            graded.where(F.col("g") == g).orderBy(F.xxhash64("id"), "id").limit(per_grade)
+            for g in range(GRADES)
+        ),
+    )
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +193,7 @@ def fit(
     # At most three times ``per_grade`` pairs of numbers: small enough to broadcast.
     sample = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(chosen.select("id", "g")), "id")
+        .join(F.broadcast(chosen), "id")
         .select("id", "g", "text")
         .mapInArrow(sparse, "id long, g int, ids array<int>")
         .toArrow()
