@@ -28,6 +28,7 @@ SIGN[39] = False
 # One chunk: a blank at most, and no other white space.
 PLAIN = re.compile(r" ?\S+")
 LINE_END = "\n"
+SPECIAL = b"<|"
 JOINED = 4096
 
 
@@ -42,6 +43,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     last[offsets[1:][offsets[1:] > 0] - 1] = False
     starts = last.copy()
     starts[1:] |= last[:-1] & (data[:-1] != 32)
+    if SPECIAL in data.tobytes():  # the vocabulary's special token is one piece
+        return starts
     letter, sign = LETTER[data], SIGN[data]
     starts[1:] |= letter[:-1] & sign[1:]
     starts[1:] |= sign[:-1] & letter[1:]

@@ -10,8 +10,9 @@ Documents meet in three steps; none of them lists the pairs of a group.
    linked sets share at least ``common(n)`` of them.
 2. Sets that share shingles with a hub (the first set that has the shingle) are searched in groups of
    bounded size that also hold the hub. Links found there give a first state of the components.
-3. Shingles all of whose sets lie in one component are done. Sets that still have ``common`` others
-   are searched against all such sets, which is exact. After step 2 hardly any are left.
+3. A shingle is done if all its sets lie in one component, or have all been searched in one group.
+   Sets that still have ``common`` other shingles are searched against all such sets, which is
+   exact. After step 2 few are left.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from labelmill.llm.batches import flat, shingle_sets, slices
 from labelmill.llm.components import components
+from labelmill.llm.lookup import only
 from labelmill.sources.staging import Staging
 
 # Sets that one group, or one shard of lists, holds.
@@ -190,7 +192,8 @@ def _with_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
     """``wanted`` (with first_doc, grp, part, role, node, key, comp), dealt by group with texts."""
     texts = docs.select(F.col(id_col).cast("long").alias("first_doc"), F.col(text_col).alias("text"))
     return (
-        texts.join(wanted, "first_doc")
+        only(texts, wanted, "first_doc")
+        .join(wanted, "first_doc")
         .select("grp", "part", "role", "node", "key", "comp", "text")
         .repartition("grp", "part")
         .sortWithinPartitions("grp", "part", "role", "node")
@@ -263,20 +266,24 @@ def similar_components(
         .withColumn("node", F.monotonically_increasing_id()),
         "reps",
     )
+    own = staging.table(sets.select("doc_id", "n", "key"), "own")
+    staging.drop("sets")
+    names = reps.select("node", "n", "key", "first_doc")
     least = threshold.common_column(threshold.least_column(F.col("n")))
 
     # Shingles that several sets have been sent by, kept in a row per set.
-    sent = reps.select("node", "n", F.explode("sent").alias("token"))
+    sent = reps.select("node", F.explode("sent").alias("token"))
     hubs = (
         sent.groupBy("token")
-        .agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("hub"))
+        .agg(F.count("*").alias("c"), F.min("node").alias("hub"))
         .where("c > 1")
-        .select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+        .select("token", "hub")
     )
     shared = staging.table(
         sent.join(hubs, "token")
-        .groupBy("node", "n")
-        .agg(F.collect_list(F.struct("token", "hub", "hub_n")).alias("met"))
+        .groupBy("node")
+        .agg(F.collect_list(F.struct("token", "hub")).alias("met"))
+        .join(names.select("node", "n"), "node")
         .where(F.size("met") >= least),
         "shared",
     )
@@ -284,38 +291,44 @@ def similar_components(
     # Step 2: groups around hubs.
     n, hub_n = F.col("n"), F.col("hub_n")
     pairs = staging.table(
-        shared.select("node", "n", F.explode("met").alias("m"))
-        .select("node", "n", "m.hub", "m.hub_n")
-        .where(
-            (F.col("node") != F.col("hub"))
-            & (den * F.least(n, hub_n) >= num * F.greatest(n, hub_n))
-        )
-        .groupBy("node", "n", "hub", "hub_n")
+        shared.select("node", "n", F.explode("met.hub").alias("hub"))
+        .where("node <> hub")
+        .groupBy("node", "n", "hub")
         .agg(F.count("*").alias("c"))
+        .where(F.col("c") >= least)
+        .join(names.select(F.col("node").alias("hub"), F.col("n").alias("hub_n")), "hub")
         .where(
-            F.col("c") >= F.least(threshold.common_column(n), threshold.common_column(hub_n))
+            (den * F.least(n, hub_n) >= num * F.greatest(n, hub_n))
+            & (
+                F.col("c")
+                >= F.least(threshold.common_column(n), threshold.common_column(hub_n))
+            )
         )
         .select("node", "hub"),
         "pairs",
     )
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_SETS).cast("int").alias("parts"))
-    members = (
-        pairs.join(sizes, "hub")
-        .select(
+    placed = staging.table(
+        pairs.join(sizes, "hub").select(
             F.col("hub").alias("grp"),
             F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
             "node",
-        )
-        .unionByName(
-            sizes.select(
-                F.col("hub").alias("grp"),
-                F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                F.col("hub").alias("node"),
-            )
+        ),
+        "placed",
+    )
+    members = placed.unionByName(
+        sizes.select(
+            F.col("hub").alias("grp"),
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            F.col("hub").alias("node"),
         )
     )
-    names = reps.select("node", "key", "first_doc")
-    grouped = members.join(names, "node").withColumns({"role": F.lit(0), "comp": F.lit(None).cast("long")})
+    grouped = staging.table(
+        members.join(names.select("node", "key", "first_doc"), "node").withColumns(
+            {"role": F.lit(0), "comp": F.lit(None).cast("long")}
+        ),
+        "grouped",
+    )
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved(rows: list[tuple]) -> pa.RecordBatch:
@@ -337,13 +350,32 @@ def similar_components(
     roots = staging.table(components(edges, staging, "first"), "roots")
 
     # Step 3: what may still link over components.
-    comp = F.coalesce("root", "node")
-    now = shared.select("node", "n", F.col("met.token").alias("tokens")).join(roots, "node", "left")
-    left = now.select("node", "n", comp.alias("comp"), F.explode("tokens").alias("token"))
+    searched = placed.groupBy("node").agg(
+        F.map_from_entries(F.collect_list(F.struct("grp", "part"))).alias("searched")
+    )
+    left = (
+        shared.join(roots, "node", "left")
+        .join(searched, "node", "left")
+        .select(
+            "node",
+            "n",
+            F.coalesce("root", "node").alias("comp"),
+            "searched",
+            F.explode("met").alias("m"),
+        )
+        .select("node", "n", "comp", "m.token", F.expr("searched[m.hub]").alias("part"), "m.hub")
+    )
     open_tokens = (
         left.groupBy("token")
-        .agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        .where("lo < hi")
+        .agg(
+            F.count("*").alias("df"),
+            F.min("comp").alias("lo"),
+            F.max("comp").alias("hi"),
+            F.count_if(F.col("part").isNull() & (F.col("node") != F.col("hub"))).alias("absent"),
+            F.min("part").alias("part_lo"),
+            F.max("part").alias("part_hi"),
+        )
+        .where("lo < hi and (absent > 0 or part_lo < part_hi)")
         .select("token", "df")
     )
     open_sets = (
@@ -361,13 +393,13 @@ def similar_components(
             docs, open_sets, n_open, names, edges, staging, words, threshold, id_col, text_col
         )
 
-    labels = reps.join(roots, "node", "left").select(
+    labels = names.join(roots, "node", "left").select(
         "key", "first_doc", F.coalesce("root", "node").alias("root")
     )
     smallest = labels.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     labels = labels.join(smallest, "root").select("key", "component_id")
     linked = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return sets.select("doc_id", "n", "key").join(labels, "key", "left").select(
+    return own.join(labels, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id")
     )
 
@@ -393,10 +425,11 @@ def _cross_links(
     index = placed.select(
         "grp", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "node", "comp"
     )
-    wanted = (
+    wanted = staging.table(
         index.withColumn("role", F.lit(0))
         .unionByName(searches.withColumn("role", F.lit(1)))
-        .join(names, "node")
+        .join(names.select("node", "key", "first_doc"), "node"),
+        "asked",
     )
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.batches import BASE, U64, SpanHashes, flat, mix, slices
+from labelmill.llm.lookup import only
 from labelmill.sources.staging import Staging
 
 LENGTH = 400
@@ -32,8 +33,6 @@ INDEX_BYTES = 1 << 20
 # Segments of one anchor that a task holds; beyond it, strings are dealt by so many starts, then one.
 ANCHOR_SEGMENTS = 8192
 REFINED = (16, 1)
-# Ids that may be broadcast to leave out texts that are not asked for.
-BROADCAST_IDS = 1 << 20
 # Texts longer than this are read in overlapping pieces.
 PIECE_BYTES = 1 << 21
 POSITION_BITS = 22
@@ -227,13 +226,6 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str, staging: Staging) ->
     return staging.table(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
 
 
-def _only(texts: DataFrame, wanted: DataFrame, n_wanted: int) -> DataFrame:
-    """The texts of the wanted rows, without shuffling the others where that is cheap."""
-    if n_wanted > BROADCAST_IDS:
-        return texts
-    return texts.join(F.broadcast(wanted.select("row")), "row", "left_semi")
-
-
 def _cut_out(
     texts: DataFrame, wanted: DataFrame, staging: Staging, name: str, step: int, length: int
 ) -> DataFrame:
@@ -244,7 +236,7 @@ def _cut_out(
         ),
         name,
     )
-    joined = _only(texts, lists, lists.count()).join(lists, "row").select("row", "text", "wanted")
+    joined = only(texts, lists, "row").join(lists, "row").select("row", "text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
