@@ -11,8 +11,9 @@ Documents meet in three steps; none of them lists the pairs of a group.
 2. Sets that share shingles with a hub (the first set that has the shingle) are searched in groups of
    bounded size that also hold the hub. Links found there give a first state of the components.
 3. A shingle is done if all its sets lie in one component, or have all been searched in one group.
-   Sets that still have ``common`` other shingles are searched against all such sets, which is
-   exact. After step 2 few are left.
+   Sets that still have ``common`` other shingles are open. They are known by more shingles now, so
+   that most turn out to have too few in common; the rest are searched against all such sets, which
+   is exact.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ from labelmill.sources.staging import Staging
 GROUP_SETS = 256
 # Sets that are searched in a shard by one task.
 SEARCH_SETS = 2048
-# Of n shingles, one in so many more is sent, so that chance meetings don't count.
-EXTRA = 50
+# Of n shingles, one in so many more is sent, so that a passage in common does not count.
+EXTRA = 20
+# The same for sets that are still open after the groups: half of their shingles must be common.
+LAST_EXTRA = 2
 # DivideSkip's weight of a probe against a merge step.
 MU = 0.0085
 
@@ -45,10 +48,10 @@ RESULT = "doc_id long, n_shingles long, component_id long"
 class Threshold:
     """Similarity ``num / den`` in integers."""
 
-    def __init__(self, num: int, den: int) -> None:
+    def __init__(self, num: int, den: int, extra: int = EXTRA) -> None:
         if not 0 < num <= den:
             raise ValueError(f"the threshold must be in (0, 1], got {num}/{den}")
-        self.num, self.den = num, den
+        self.num, self.den, self.extra = num, den, extra
 
     def least(self, n: int) -> int:
         """Shingles that a set of n shares with any set it links to, and the smallest such set."""
@@ -56,7 +59,7 @@ class Threshold:
 
     def common(self, n: int) -> int:
         """Shingles that two linked sets of n or more share among those sent."""
-        return min(1 + n // EXTRA, self.least(n))
+        return min(1 + n // self.extra, self.least(n))
 
     def sent(self, n: int) -> int:
         return n - self.least(n) + self.common(n)
@@ -68,7 +71,7 @@ class Threshold:
         return F.floor((n * self.num + (self.den - 1)) / F.lit(self.den)).cast("long")
 
     def common_column(self, n: Column) -> Column:
-        return F.least(1 + F.floor(n / EXTRA), self.least_column(n))
+        return F.least(1 + F.floor(n / self.extra), self.least_column(n))
 
 
 class InvertedLists:
@@ -378,20 +381,33 @@ def similar_components(
         .where("lo < hi and (absent > 0 or part_lo < part_hi)")
         .select("token", "df")
     )
-    open_sets = (
-        left.join(open_tokens, "token")
-        .groupBy("node", "n", "comp")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("met"))
-        .where(F.size("met") >= least)
-        # The rarest, so many that linked sets still share one of them.
-        .select("node", "comp", F.slice("met", 1, (F.size("met") - least + 1).cast("int")).alias("met"))
-    )
-    open_sets = staging.table(open_sets, "open")
-    n_open = open_sets.count()
-    if n_open:
-        roots = _cross_links(
-            docs, open_sets, n_open, names, edges, staging, words, threshold, id_col, text_col
+    open_sets = _still_open(left, open_tokens, least).select("node", "comp")
+    open_sets = staging.table(open_sets.join(names, "node"), "open")
+    if not open_sets.isEmpty():
+        last = Threshold(num, den, LAST_EXTRA)
+        texts = docs.select(
+            F.col(id_col).cast("long").alias("first_doc"), F.col(text_col).alias("text")
+        )
+        more = staging.table(
+            only(texts, open_sets, "first_doc")
+            .join(open_sets, "first_doc")
+            .mapInArrow(_sent_by_node(words, last), "node long, comp long, n long, sent array<long>"),
+            "more",
         )
+        left = more.select("node", "comp", "n", F.explode("sent").alias("token"))
+        open_tokens = (
+            left.groupBy("token")
+            .agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo < hi")
+            .select("token", "df")
+        )
+        least = last.common_column(last.least_column(F.col("n")))
+        open_sets = staging.table(_still_open(left, open_tokens, least), "last_open")
+        n_open = open_sets.count()
+        if n_open:
+            roots = _cross_links(
+                docs, open_sets, n_open, names, edges, staging, words, threshold, id_col, text_col
+            )
 
     labels = names.join(roots, "node", "left").select(
         "key", "first_doc", F.coalesce("root", "node").alias("root")
@@ -404,6 +420,43 @@ def similar_components(
     )
 
 
+def _still_open(left: DataFrame, open_tokens: DataFrame, least: Column) -> DataFrame:
+    """Sets with ``least`` open shingles, and the rarest of these, so many that linked sets still
+    share one of them."""
+    return (
+        left.join(open_tokens, "token")
+        .groupBy("node", "n", "comp")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("met"))
+        .where(F.size("met") >= least)
+        .select(
+            "node", "comp", F.slice("met", 1, (F.size("met") - least + 1).cast("int")).alias("met")
+        )
+    )
+
+
+def _sent_by_node(words: int, threshold: Threshold):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                out = []
+                sets = shingle_sets(*flat(part.column("text")), words)
+                columns = (part.column(c).to_pylist() for c in ("node", "comp", "key"))
+                for s, node, comp, key in zip(sets, *columns, strict=True):
+                    if len(s) and _key(s) == key:
+                        out.append((node, comp, len(s), s[: threshold.sent(len(s))].view(np.int64)))
+                node, comp, n, sent = zip(*out, strict=True) if out else ((), (), (), ())
+                yield pa.record_batch(
+                    {
+                        "node": pa.array(node, pa.int64()),
+                        "comp": pa.array(comp, pa.int64()),
+                        "n": pa.array(n, pa.int64()),
+                        "sent": pa.array(list(sent), pa.list_(pa.int64())),
+                    }
+                )
+
+    return run
+
+
 def _cross_links(
     docs, open_sets, n_open, names, edges, staging, words, threshold, id_col, text_col
 ) -> DataFrame:
@@ -413,7 +466,14 @@ def _cross_links(
     placed = open_sets.select(
         "node",
         "comp",
-        F.pmod(F.xxhash64("comp", F.pmod(F.xxhash64("node"), F.lit(shards))), F.lit(shards))
+        # Sets with the same rarest shingle lie together, in several shards if there are many.
+        F.pmod(
+            F.xxhash64(
+                F.expr("met[0].token"),
+                F.pmod(F.xxhash64("node"), F.ceil(F.expr("met[0].df") / GROUP_SETS)),
+            ),
+            F.lit(shards),
+        )
         .cast("long")
         .alias("grp"),
         F.pmod(F.xxhash64("node"), F.lit(parts)).cast("int").alias("part"),
