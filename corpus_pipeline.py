@@ -1,13 +1,25 @@
-"""A training-corpus pipeline over the documents table."""
+"""A training-corpus pipeline over the documents table.
+
+Toxic documents go, one document of each group of near duplicates stays, passages that stand in
+several places are taken out, personal data is sanitised, and what is left is packed into token
+sequences. Every stage works on all rows that the one before it kept.
+"""
 
 from __future__ import annotations
 
+from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import toxicity
+from labelmill.llm import jaccard, packing, pii, repeats, toxicity
 from labelmill.sources.staging import Staging
 
+# Near duplicates: five words, a similarity of 0.8.
+WORDS, NUM, DEN = 5, 80, 100
+# Bytes of a repeated passage: under that of fifty short words.
+PASSAGE_BYTES = 240
+END_ID = 50256
+
 
 def mild(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity stays below the limit, by the label table's grades."""
@@ -16,9 +28,35 @@ def mild(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_mild(docs, model)
 
 
-STAGES = [("toxicity", mild)]
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each component of near duplicates."""
+    return jaccard.one_of_each(docs, words=WORDS, num=NUM, den=DEN)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that stand elsewhere too."""
+    return repeats.without_repeats(docs, length=PASSAGE_BYTES, length_col="n_chars")
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data named by its kind and what reveals it generalised."""
+    return pii.sanitised(docs, length_col="n_chars")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 ids."""
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=END_ID)
+
+
+STAGES = [
+    ("toxicity", mild),
+    ("n-gram Jaccard join", distinct),
+    ("suffix-array dedup", unrepeated),
+    ("PII", private),
+    ("packing", packed),
+]
 
-# A fitted model decides the first stage.
+# A fitted model, byte positions and a tokenizer decide, none of which SQL has.
 ORACLE_SQL = None
 
 
@@ -26,8 +64,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each one's result written and read again for the next."""
     staging = Staging(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for at, (name, stage) in enumerate(STAGES):
-        docs = staging.table(stage(spark, docs, sf_dir), name)
+    for at, (_, stage) in enumerate(STAGES):
+        docs = staging.table(stage(spark, docs, sf_dir), f"stage-{at}")
         if at:
-            staging.drop(STAGES[at - 1][0])
+            staging.drop(f"stage-{at - 1}")
     return docs

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from labelmill.llm.batches import flat, shingle_sets, slices
 from labelmill.llm.components import components
-from labelmill.llm.lookup import only
+from labelmill.llm.lookup import only, with_row, without
 from labelmill.sources.staging import Staging
 
 # Sets that one group, or one shard of lists, holds.
@@ -514,3 +514,26 @@ def _cross_links(
     more = _with_texts(docs, wanted, id_col, text_col).mapInArrow(across, "a long, b long")
     every = staging.table(edges.unionByName(more), "all_edges")
     return components(every, staging, "second")
+
+
+def one_of_each(
+    docs: DataFrame,
+    *,
+    words: int = 5,
+    num: int = 80,
+    den: int = 100,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows, all columns, with one row left of each component: that of the smallest id.
+
+    Rows without words link with nothing, so they stay. Where ids repeat or are null, the first row
+    in order of reading stays.
+    """
+    staging = Staging(docs.sparkSession)
+    rows, row = with_row(docs, id_col, staging)
+    linked = similar_components(
+        rows.select(row, text_col), words=words, num=num, den=den, id_col=row, text_col=text_col
+    )
+    gone = linked.where("component_id <> doc_id").select(F.col("doc_id").alias(row))
+    return without(rows, staging.table(gone, "gone"), row).select(*docs.columns)

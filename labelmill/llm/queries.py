@@ -13,6 +13,7 @@ from labelmill.llm import (
     jaccard,
     packing,
     pieces,
+    pii,
     repeats,
     simple8b,
     toxicity,
@@ -114,6 +115,12 @@ def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.summary(repeats.remove_repeats(_table(spark, sf, "documents"), length=400))
 
 
+@query
+def op7_disclosure_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of every document, and the terms that reveal it."""
+    return pii.digests(pii.find(_table(spark, sf, "documents")))
+
+
 @query
 def op8_ordinal_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Expected severity and grade of every document, from a model fitted on the label table."""

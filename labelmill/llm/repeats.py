@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.batches import BASE, U64, SpanHashes, flat, mix, slices
-from labelmill.llm.lookup import only
+from labelmill.llm.lookup import fresh, only, with_row
 from labelmill.sources.staging import Staging
 
 LENGTH = 400
@@ -213,19 +213,6 @@ class RunLengthIndex:
         yield b[long_], common[long_]
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str, staging: Staging) -> DataFrame:
-    """``row, doc_id, text`` with a number of its own for each row: the id, where that will do."""
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
-    unclear = rows.groupBy("doc_id").count().where("doc_id is null or count > 1").limit(1)
-    if unclear.isEmpty():
-        return rows.withColumn("row", F.col("doc_id"))
-    # Numbers given on the fly need not be the same in the next scan, so they are written.
-    return staging.table(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
-
-
 def _cut_out(
     texts: DataFrame, wanted: DataFrame, staging: Staging, name: str, step: int, length: int
 ) -> DataFrame:
@@ -399,16 +386,25 @@ def repeated_spans(
     return spans
 
 
-def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, most: int) -> DataFrame:
+def _with_spans(
+    docs: DataFrame, length: int, id_col: str, text_col: str, most: int
+) -> tuple[DataFrame, str]:
+    """The rows with a column of their spans (null where there are none), and its name."""
     if length < 32:
         raise ValueError(f"length must be at least 32 bytes, got {length}")
     staging = Staging(docs.sparkSession)
-    texts = _numbered(docs, id_col, text_col, staging)
-    spans = repeated_spans(texts, staging, length, most)
-    merged = staging.table(
-        spans.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans"
+    rows, row = with_row(docs, id_col, staging)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = rows.select(F.col(row).alias("row"), text.alias("text"))
+    spans = fresh("_spans", docs.columns)
+    found = staging.table(
+        repeated_spans(texts, staging, length, most)
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("s", "e")).alias(spans))
+        .withColumnRenamed("row", row),
+        "spans",
     )
-    return texts.join(merged, "row", "left")
+    return rows.join(found, row, "left").select(*docs.columns, spans), spans
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -446,7 +442,12 @@ def remove_repeats(
     an id or have none, each is a text of its own. An empty table gives no rows. Strings are compared
     by two 64-bit hashes where they stand in several places, byte by byte otherwise.
     """
-    joined = _with_spans(docs, length, id_col, text_col, most).select("doc_id", "text", "spans")
+    joined, found = _with_spans(docs.select(id_col, text_col), length, id_col, text_col, most)
+    joined = joined.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        F.col(found).alias("spans"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -482,3 +483,54 @@ def summary(removed: DataFrame) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans without the parts of UTF-8 characters at their ends."""
+    out = []
+    for s, e in spans:
+        while s < e and data[s] & 0xC0 == 0x80:
+            s += 1
+        while s < e < len(data) and data[e] & 0xC0 == 0x80:
+            e -= 1
+        if s < e:
+            out.append((s, e))
+    return out
+
+
+def without_repeats(
+    docs: DataFrame,
+    *,
+    length: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length_col: str | None = None,
+) -> DataFrame:
+    """The rows, all columns, with texts that have lost their repeated bytes, whole characters only.
+
+    ``length_col`` gets the new number of code points. A null text stays null.
+    """
+    joined, found = _with_spans(docs, length, id_col, text_col, ANCHOR_SEGMENTS)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col):
+                spans = part.column(found).to_pylist()
+                columns = {n: part.column(n) for n in names}
+                changed = [i for i, own in enumerate(spans) if own]
+                if changed:
+                    texts = columns[text_col].to_pylist()
+                    lengths = columns[length_col].to_pylist() if length_col else []
+                    for i in changed:
+                        data = texts[i].encode()
+                        own = merged_spans([(x["s"], x["e"]) for x in spans[i]])
+                        texts[i] = kept(data, whole_characters(data, own)).decode()
+                        if length_col:
+                            lengths[i] = len(texts[i])
+                    columns[text_col] = pa.array(texts, pa.string())
+                    if length_col:
+                        columns[length_col] = pa.array(lengths, columns[length_col].type)
+                yield pa.record_batch(list(columns.values()), names=list(columns))
+
+    return joined.mapInArrow(run, docs.schema)
