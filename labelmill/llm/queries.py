@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from labelmill.llm import (
     fingerprint,
     jaccard,
+    licenses,
     packing,
     pieces,
     pii,
@@ -59,6 +60,12 @@ select query_id, rank::int as rank, vec_id, score from r where rank <= 10
 """
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
 @query
 def op3_bin_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents' ids in sequences of 1024."""
