@@ -31,7 +31,8 @@ from labelmill.llm.batches import (
 # Words in a fingerprint, and runs in a window: a match of RUN + WINDOW - 1 words is never missed.
 RUN = 3
 WINDOW = 3
-# Diagonals on either side of the one where text and template meet.
+# Diagonals on either side of the one where text and template meet, at most; half a template's words
+# at most too, so that its next occurrence lies outside.
 BAND = 12
 COVERAGE = 0.8
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -152,13 +153,17 @@ class Templates:
         return place, entry[:, 0], entry[:, 1]
 
 
+def band(template: np.ndarray) -> int:
+    return min(BAND, max(1, len(template) // 2))
+
+
 def aligned(template: np.ndarray, text: np.ndarray, diagonal: int) -> list[int]:
     """Text words that match the template's in order, in the best alignment near the diagonal.
 
     The whole template is aligned with any part of the text: text words before and after are free.
     """
-    n, width = len(template), 2 * BAND + 1
-    offsets = np.arange(width) + diagonal - BAND  # text place minus template place
+    n, width = len(template), 2 * band(template) + 1
+    offsets = np.arange(width) + diagonal - band(template)  # text place minus template place
     low = -(1 << 20)
     scores = np.full((n + 1, width), low, np.int64)
     starts = offsets
@@ -199,13 +204,14 @@ def notices(
     regions: dict[tuple[int, int], list[int]] = defaultdict(list)
     for place, number, where in zip(places.tolist(), numbers.tolist(), at.tolist(), strict=True):
         # Meetings on nearly the same diagonal belong to one occurrence.
-        regions[number, (place - where) // BAND].append(place - where)
+        diagonal = place - where
+        regions[number, diagonal // band(templates.words[number])].append(diagonal)
     found = {}
     for (number, _), diagonals in regions.items():
         template = templates.words[number]
         middle = sorted(diagonals)[len(diagonals) // 2]
-        start = max(0, middle - BAND)
-        stop = min(len(hashes), middle + len(template) + BAND)
+        start = max(0, middle - band(template))
+        stop = min(len(hashes), middle + len(template) + band(template))
         matched = [start + m for m in aligned(template, hashes[start:stop], middle - start)]
         if matched and len(matched) >= COVERAGE * len(template):
             found[number, matched[0], matched[-1]] = matched

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.batches import flat, slices
+from labelmill.llm.lookup import fresh
 from labelmill.sources.staging import Staging
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -289,55 +290,57 @@ def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     return staging.table(shares.where(F.col("share") >= GENERALISE), "shares")
 
 
-class _Revealed:
-    """The disclosure table at hand in the tasks: sent whole if it is small, else by text."""
-
-    def __init__(self, docs: DataFrame, shares: DataFrame, text_col: str) -> None:
-        self.rows, self.sent = docs, None
-        if shares.count() <= BROADCAST_PAIRS:
-            table: dict[int, dict[int, float]] = {}
-            for r in shares.collect():
-                table.setdefault(r.entity, {})[r.term] = r.share
-            self.sent = docs.sparkSession.sparkContext.broadcast(Disclosure(table))
-            return
-
-        def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    out = []
-                    for text in _texts(part, "text", _suspects(part, "text")):
-                        out += [(entity_key(text, s), _hash(text)) for s in entities(text)]
-                    entity, own = zip(*out, strict=True) if out else ((), ())
-                    yield pa.record_batch(
-                        {"entity": pa.array(entity, pa.int64()), "own": pa.array(own, pa.int64())}
-                    )
-
-        text = F.col(text_col).cast("string")
-        by_text = (
-            docs.select(text.alias("text"))
-            .mapInArrow(keys, "entity long, own long")
-            .distinct()
-            .join(shares, "entity")
-            .groupBy("own")
-            .agg(F.collect_list(F.struct("entity", "term", "share")).alias("_revealed"))
-        )
+Lookup = Callable[[pa.RecordBatch, int], Disclosure]
+
+
+def _by_broadcast(sent) -> Lookup:
+    return lambda _part, _row: sent.value
+
 
-        def own_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                key = [_hash(t or "") for t in batch.column(text_col).to_pylist()]
-                yield batch.append_column("_own", pa.array(key, pa.int64()))
+def _by_column(part: pa.RecordBatch, row: int) -> Disclosure:
+    table: dict[int, dict[int, float]] = {}
+    for r in part.column(part.num_columns - 1)[row].as_py() or []:
+        table.setdefault(r["entity"], {})[r["term"]] = r["share"]
+    return Disclosure(table)
 
-        schema = docs.withColumn("_own", F.lit(0).cast("long")).schema
-        keyed = docs.mapInArrow(own_key, schema)
-        self.rows = keyed.join(by_text, keyed["_own"] == by_text["own"], "left").drop("own", "_own")
 
-    def of(self, part: pa.RecordBatch, row: int) -> Disclosure:
-        if self.sent is not None:
-            return self.sent.value
+def _revealed(docs: DataFrame, shares: DataFrame, text_col: str) -> tuple[DataFrame, Lookup]:
+    """The rows, and the disclosure table at hand in the tasks: sent whole if it is small, else
+    joined by text as a last column."""
+    if shares.count() <= BROADCAST_PAIRS:
         table: dict[int, dict[int, float]] = {}
-        for r in part.column("_revealed")[row].as_py() or []:
-            table.setdefault(r["entity"], {})[r["term"]] = r["share"]
-        return Disclosure(table)
+        for r in shares.collect():
+            table.setdefault(r.entity, {})[r.term] = r.share
+        return docs, _by_broadcast(docs.sparkSession.sparkContext.broadcast(Disclosure(table)))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                out = []
+                for text in _texts(part, "text", _suspects(part, "text")):
+                    out += [(entity_key(text, s), _hash(text)) for s in entities(text)]
+                entity, own = zip(*out, strict=True) if out else ((), ())
+                yield pa.record_batch(
+                    {"entity": pa.array(entity, pa.int64()), "own": pa.array(own, pa.int64())}
+                )
+
+    own, found = fresh("_own", docs.columns), fresh("_found", docs.columns)
+    by_text = (
+        docs.select(F.col(text_col).cast("string").alias("text"))
+        .mapInArrow(keys, "entity long, own long")
+        .distinct()
+        .join(shares, "entity")
+        .groupBy(F.col("own").alias(own))
+        .agg(F.collect_list(F.struct("entity", "term", "share")).alias(found))
+    )
+
+    def own_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = [_hash(t or "") for t in batch.column(text_col).to_pylist()]
+            yield batch.append_column(own, pa.array(key, pa.int64()))
+
+    keyed = docs.mapInArrow(own_key, docs.withColumn(own, F.lit(0).cast("long")).schema)
+    return keyed.join(by_text, own, "left").select(*docs.columns, found), _by_column
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -348,8 +351,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     """
     shares = disclosure(docs, text_col=text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    revealed = _Revealed(rows, shares, "text")
-    of = revealed.of if revealed.sent is None else _from(revealed.sent)
+    rows, of = _revealed(rows, shares, "text")
     kind = pa.list_(
         pa.struct(
             [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())]
@@ -378,24 +380,19 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
                     }
                 )
 
-    return revealed.rows.mapInArrow(
+    return rows.mapInArrow(
         run,
         "doc_id long, spans array<struct<kind:string,start:long,end:long,share:double>>,"
         " sanitised string",
     )
 
 
-def _from(sent):
-    return lambda _part, _row: sent.value
-
-
 def sanitised(docs: DataFrame, *, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """The rows with sanitised texts, all columns; ``length_col`` gets the new length.
 
     A null text stays null.
     """
-    revealed = _Revealed(docs, disclosure(docs, text_col=text_col), text_col)
-    of = revealed.of if revealed.sent is None else _from(revealed.sent)
+    rows, of = _revealed(docs, disclosure(docs, text_col=text_col), text_col)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,7 +415,7 @@ def sanitised(docs: DataFrame, *, text_col: str = "text", length_col: str | None
                     columns[length_col] = pa.array(lengths, columns[length_col].type)
                 yield pa.record_batch(list(columns.values()), names=list(columns))
 
-    return revealed.rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)
 
 
 def digests(found: DataFrame) -> DataFrame:

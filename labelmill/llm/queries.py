@@ -45,10 +45,10 @@ def op1_voronoi_top_k(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLES["op1_voronoi_top_k"] = """
 with v as (
-    select vec_id, list_transform(embedding, x -> floor(1024 * x::double)) as e
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e
     from embeddings
     where embedding is not null
-      and len(list_filter(embedding, x -> x is not null and isfinite(x))) = len(embedding)
+      and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
 ), s as (
     select q.vec_id as query_id, x.vec_id,
            list_inner_product(q.e, x.e)::bigint as score
@@ -90,13 +90,13 @@ ORACLES["op5_ngram_jaccard"] = """
 with recursive w as (
     select doc_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\\x20\\x09-\\x0D]+'), x -> x <> '') as ws
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws
     from documents
 ), s as (
     select doc_id, case when len(ws) = 0 then []
         when len(ws) < 4 then [array_to_string(ws, ' ')]
         else list_distinct(list_transform(range(1, len(ws) - 2),
-            i -> array_to_string(ws[i:i + 3], ' '))) end as sh
+            lambda i: array_to_string(ws[i:i + 3], ' '))) end as sh
     from w
 ), n as (select doc_id, len(sh)::bigint as n from s),
 t as (select doc_id, unnest(sh) as t from s),
