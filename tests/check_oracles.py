@@ -50,7 +50,7 @@ if __name__ == "__main__":
     from __spark_entry__ import oracle_sql, queries
 
     sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
-    names = sys.argv[2:] or list(queries())
+    names = sys.argv[2:] or list(oracle_sql())
     spark, con, bad = session(), duck(sf_dir), 0
     print("without SQL:", sorted(set(queries()) - set(oracle_sql())))
     for name in names:
