@@ -225,6 +225,14 @@ def split_by_source(spark, sf):
     return split.split_dataset(docs, split.SplitRatios(0.7, 0.2, 0.1), seed=7)
 
 
+@query
+def split_null_labels(spark, sf):
+    """Uncleaned samples: most have no label."""
+    rows = Staging(spark).table(samples(spark, sf).select("seq", "output"), "samples")
+    tagged = split.stratified_split(rows)
+    return tagged.select("seq", F.coalesce("output", F.lit("-")).alias("output"), "split")
+
+
 @query
 def inject_new(spark, sf):
     return sets(spark, sf).select("split", "injected", "seq", "output")
@@ -241,6 +249,21 @@ def record_ids(spark, sf):
     return add_ids(sets(spark, sf), ["split"], ["injected"], width=64).select("split", "id", "seq")
 
 
+@query
+def ids_null_group(spark, sf):
+    """Ids within labels, of which most are missing."""
+    rows = add_ids(samples(spark, sf).select("seq", "output"), ["output"], width=64)
+    return rows.select(F.coalesce("output", F.lit("-")).alias("output"), "id", "seq")
+
+
+@query
+def record_ids_sparse(spark, sf):
+    """Numbers far apart, as byte offsets are."""
+    docs = _table(spark, sf, "documents")
+    rows = docs.select("source", (F.col("doc_id") * 200_000).alias("seq"))
+    return add_ids(rows, ["source"], width=64)
+
+
 # Records
 
 
@@ -319,6 +342,24 @@ def export_counts(spark, sf):
     return _read_back(spark, path, INTERNAL, "r.conversations[1].context")
 
 
+@query
+def export_array_counts(spark, sf):
+    """Each part file of a JSON array read by itself: records, and a sum over their hashes."""
+    path = _scratch(spark)
+    export(sets(spark, sf), path, "ark", PROMPT)
+    record = "array<struct<instruction string, input string, output string>>"
+    whole = spark.read.text(path, wholetext=True).withColumn("r", F.from_json("value", record))
+    text = F.concat_ws("|", "r.instruction", "r.input", "r.output")
+    return (
+        whole.select("split", F.explode("r").alias("r"))
+        .groupBy("split")
+        .agg(
+            F.count("*").alias("records"),
+            F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("hashes"),
+        )
+    )
+
+
 # Reports
 
 

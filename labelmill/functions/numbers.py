@@ -35,8 +35,14 @@ def l2_norm(vec: Column) -> Column:
 
 
 def l2_normalize(vec: Column) -> Column:
-    """Unit-length vector of doubles; a zero vector stays zero."""
-    norm = l2_norm(vec)
-    return F.transform(
-        vec, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0))
-    )
+    """Unit-length vector of doubles; a zero vector stays zero.
+
+    The norm is the element of an outer array, so that it is worked out once and not per element.
+    """
+
+    def scaled(norm: Column) -> Column:
+        return F.transform(
+            vec, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0))
+        )
+
+    return F.transform(F.array(l2_norm(vec)), scaled)[0]

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import cached_property
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelmill.defaults import SEED, SplitRatios
+from labelmill.operators.rank import add_places
 from labelmill.operators.skew import salted_join
 from labelmill.sources.staging import Staging
 
@@ -32,40 +36,70 @@ def split_summary(df: DataFrame, label_col: str = "output") -> DataFrame:
     return per_label.unionByName(per_split.withColumn(label_col, F.lit(None).cast("string")))
 
 
-def _share(count: str, total: str, draw: str, tie_order: str) -> Column:
-    """Largest-remainder share of ``draw`` items for a label holding ``count`` of ``total``.
+@dataclass(frozen=True)
+class Sizes:
+    """Rows, strata, and the sizes of the splits: test of all rows first, then val of the rest.
 
-    Integer arithmetic in DECIMAL(38): exact for any table size.
+    They round up in double arithmetic.
     """
-    wide = F.col(count).cast("decimal(19,0)") * F.col(draw).cast("decimal(19,0)")
-    whole = F.greatest(F.col(total), F.lit(1))
-    rest = wide % whole
-    floor = ((wide - rest) / whole).cast("long")
-    spare = F.col(draw) - F.sum(floor).over(W.partitionBy())
-    place = F.row_number().over(W.orderBy(F.desc(rest), F.col(tie_order)))
-    return floor + (place <= spare).cast("long")
 
+    n: int
+    strata: int
+    smallest: int
+    ratios: SplitRatios
+
+    @property
+    def n_test(self) -> int:
+        return ceil(float(self.n) * self.ratios.test)
+
+    @property
+    def n_rest(self) -> int:
+        return self.n - self.n_test
 
-def split_quotas(counts: DataFrame, ratios: SplitRatios) -> DataFrame:
-    """Test and val quotas per stratum from ``counts(stratum, rows)``, one row per stratum.
+    @property
+    def n_val(self) -> int:
+        return ceil(float(self.n_rest) * self.ratios.val_of_rest)
 
-    The sizes round up in double arithmetic: test of all rows first, then val of the rest. Equal
-    remainders go to the smaller label.
+    @property
+    def n_train(self) -> int:
+        return self.n_rest - self.n_val
+
+
+def _shared(
+    counts: DataFrame, count: str, total: int, draw: int, name: str, few: bool, staging: Staging
+) -> DataFrame:
+    """``counts`` with ``name``: each stratum's largest-remainder share of ``draw`` of ``total``.
+
+    Integer arithmetic in DECIMAL(38): exact for any table size. Equal remainders go to the
+    smaller label. Up to BROADCAST_LABELS strata are ranked in one task, more by a range shuffle.
     """
-    total = F.sum("rows").over(W.partitionBy())
-    sized = (
-        counts.withColumn("n", total)
-        .withColumn("n_test", F.ceil(F.col("n").cast("double") * F.lit(ratios.test)))
-        .withColumn("n_rest", F.col("n") - F.col("n_test"))
-        .withColumn("n_val", F.ceil(F.col("n_rest").cast("double") * F.lit(ratios.val_of_rest)))
-        .withColumn("n_train", F.col("n_rest") - F.col("n_val"))
-    )
-    return (
-        sized.withColumn("q_test", _share("rows", "n", "n_test", "stratum"))
-        .withColumn("left", F.col("rows") - F.col("q_test"))
-        .withColumn("q_val", _share("left", "n_rest", "n_val", "stratum"))
-        .drop("left")
+    whole = F.lit(max(total, 1)).cast("decimal(19,0)")
+    wide = F.col(count).cast("decimal(19,0)") * F.lit(draw).cast("decimal(19,0)")
+    rest = wide % whole
+    parts = counts.withColumn("_rest", rest).withColumn(
+        "_floor", ((wide - F.col("_rest")) / whole).cast("long")
     )
+    spare = draw - (parts.agg(F.sum("_floor")).first()[0] or 0)
+    order = (F.desc("_rest"), F.col("stratum"))
+    if few:
+        parts = parts.withColumn("place", F.row_number().over(W.orderBy(*order)))
+    else:
+        parts = add_places(parts, order, staging, f"places_{name}")
+    got = F.col("_floor") + (F.col("place") <= spare).cast("long")
+    return parts.withColumn(name, got).drop("_rest", "_floor", "place")
+
+
+def split_quotas(counts: DataFrame, sizes: Sizes, staging: Staging) -> DataFrame:
+    """Test and val quotas per stratum from ``counts(stratum, rows)``, one row per stratum."""
+    few = sizes.strata <= BROADCAST_LABELS
+    tests = _shared(counts, "rows", sizes.n, sizes.n_test, "q_test", few, staging)
+    tests = staging.table(tests.withColumn("left", F.col("rows") - F.col("q_test")), "tests")
+    return _shared(tests, "left", sizes.n_rest, sizes.n_val, "q_val", few, staging).drop("left")
+
+
+def _stratum(label: Column) -> Column:
+    """The label as a key that is never null: a missing label is a stratum of its own, the first."""
+    return F.when(label.isNull(), "").otherwise(F.concat(F.lit("="), label.cast("string")))
 
 
 def _order_key(seed: int) -> Column:
@@ -84,36 +118,49 @@ class _Cut:
     """
 
     def __init__(
-        self, df: DataFrame, stratum: Column, ratios: SplitRatios, seed: int, digits: int
+        self,
+        df: DataFrame,
+        stratum: Column,
+        ratios: SplitRatios,
+        seed: int,
+        digits: int,
+        staging: Staging | None = None,
     ) -> None:
         self.df, self.stratum, self.seed = df, stratum, seed
-        self.staging = Staging(df.sparkSession)
+        self.staging = staging.part() if staging else Staging(df.sparkSession)
         self.keyed = df.select(
             stratum.alias("stratum"), _order_key(seed).alias("h"), "seq"
         ).withColumn("b", F.substring("h", 1, digits))
         counts = self.keyed.groupBy("stratum", "b").agg(F.count("*").alias("rows"))
         self.buckets = self.staging.table(counts, "buckets")
-        per_stratum = self.buckets.groupBy("stratum").agg(F.sum("rows").alias("rows"))
-        self.quotas = self.staging.table(split_quotas(per_stratum, ratios), "quotas")
-        self.sizes = self.quotas.agg(
-            F.count("*").alias("strata"),
-            F.min("rows").alias("smallest"),
-            F.min(F.col("rows") - F.col("q_test")).alias("smallest_left"),
-            *(F.max(c).alias(c) for c in ("n", "n_test", "n_rest", "n_val", "n_train")),
+        self.per_stratum = self.buckets.groupBy("stratum").agg(F.sum("rows").alias("rows"))
+        found = self.per_stratum.agg(
+            F.sum("rows").alias("n"), F.count("*").alias("strata"), F.min("rows").alias("smallest")
         ).first()
-        if not self.sizes.n:
+        if not found.n:
             raise ValueError("there are no rows to split")
+        self.sizes = Sizes(found.n, found.strata, found.smallest, ratios)
         if self.sizes.n_rest < 1 or self.sizes.n_train < 1:
             raise ValueError(f"{self.sizes.n} rows are too few: train would be empty")
 
+    @cached_property
+    def quotas(self) -> DataFrame:
+        quotas = split_quotas(self.per_stratum, self.sizes, self.staging)
+        return self.staging.table(quotas, "quotas")
+
     def unstratifiable(self) -> str | None:
-        """Why the split cannot follow the strata, or None where it can."""
+        """Why the split cannot follow the strata, or None where it can.
+
+        What the sizes settle is settled first: with a label for each row there are no quotas.
+        """
         s = self.sizes
-        if min(s.smallest, s.smallest_left) < 2:
-            return "a label has fewer than 2 rows in one of the two cuts"
+        rare = "a label has fewer than 2 rows in one of the two cuts"
+        if s.smallest < 2:
+            return rare
         if min(s.n_test, s.n_rest, s.n_val, s.n_train) < s.strata:
             return f"a split has fewer rows than there are labels ({s.strata})"
-        return None
+        left = self.quotas.agg(F.min(F.col("rows") - F.col("q_test"))).first()[0]
+        return rare if left < 2 else None
 
     def _cuts(self, few: bool) -> DataFrame:
         """(stratum, test, val): the (h, seq) of the last test row and of the last val row."""
@@ -175,9 +222,14 @@ def stratified_split(
     seed: int = SEED,
     label_col: str = "output",
     digits: int = DIGITS,
+    staging: Staging | None = None,
 ) -> DataFrame:
-    """``df`` with ``split``: exact sizes, each label in proportion. ValueError where impossible."""
-    cut = _Cut(df, F.col(label_col), ratios, seed, digits)
+    """``df`` with ``split``: exact sizes, each label in proportion. ValueError where impossible.
+
+    Rows without a label are a stratum of their own. Counts and cut-offs are written in ``staging``
+    if that is given: clear it when nothing reads the result any more.
+    """
+    cut = _Cut(df, _stratum(F.col(label_col)), ratios, seed, digits, staging)
     reason = cut.unstratifiable()
     if reason:
         raise ValueError(reason)
@@ -185,10 +237,14 @@ def stratified_split(
 
 
 def random_split(
-    df: DataFrame, ratios: SplitRatios = SplitRatios(), seed: int = SEED, digits: int = DIGITS
+    df: DataFrame,
+    ratios: SplitRatios = SplitRatios(),
+    seed: int = SEED,
+    digits: int = DIGITS,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """``df`` with ``split``: the same sizes, labels not considered."""
-    return _Cut(df, F.lit(""), ratios, seed, digits).tag()
+    return _Cut(df, F.lit(""), ratios, seed, digits, staging).tag()
 
 
 def split_dataset(
@@ -197,15 +253,16 @@ def split_dataset(
     seed: int = SEED,
     label_col: str = "output",
     digits: int = DIGITS,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Stratified where possible, else random. ``df`` is read three times: stage costly input."""
-    cut = _Cut(df, F.col(label_col), ratios, seed, digits)
+    cut = _Cut(df, _stratum(F.col(label_col)), ratios, seed, digits, staging)
     if cut.sizes.smallest < 3:
         log.warning("a label has only %d rows, the split may ignore labels", cut.sizes.smallest)
     reason = cut.unstratifiable()
     if reason:
         log.warning("splitting without regard to labels: %s", reason)
-        return random_split(df, ratios, seed, digits)
+        return random_split(df, ratios, seed, digits, staging)
     return cut.tag()
 
 

@@ -261,6 +261,19 @@ select seq, output, split from tagged""",
         "docs as (select doc_id as seq, source as output from documents)",
         split_tables("docs", "output", 0.7, 0.2, 0.1, 7))}
 select seq, output, split from tagged""",
+    "split_null_labels": f"""{with_tables(
+        SAMPLES, split_tables("samples", "coalesce('=' || output, '')"))}
+select seq, coalesce(output, '-') as output, split from tagged""",
+    "ids_null_group": f"""{with_tables(SAMPLES)}
+select coalesce(output, '-') as output, seq,
+       row_number() over (partition by output order by seq) as id from samples""",
+    "record_ids_sparse": """
+select source, doc_id * 200000 as seq,
+       row_number() over (partition by source order by doc_id) as id from documents""",
+    "export_array_counts": f"""{with_tables(*BASE, SETS)}
+select split, count(*) as records,
+       sum(('0x' || md5('{PROMPT}|' || input || '|' || output)[1:8])::bigint)::bigint as hashes
+from sets group by split""",
     "inject_new": f"{with_tables(*BASE, SETS)} select split, injected, seq, output from sets",
     "split_summary": f"""{with_tables(*BASE, SETS)}
 select split, coalesce(output, 'all') as output, count(*) as rows

@@ -37,6 +37,7 @@ from labelmill.operators.similarity import (
 )
 from labelmill.operators.skew import ROWS_PER_SALT, salted_join
 from labelmill.operators.split import inject_new, split_dataset
+from labelmill.sources.members import in_member
 from labelmill.sources.sinks import export, run_path, run_stamp, write_report, write_table
 from labelmill.sources.staging import Staging
 
@@ -109,29 +110,27 @@ def split_job(
     ``full_set`` adds the set ``data`` (all rows), ``report`` the text report.
     """
     fmt, stamp = get_format(fmt), stamp or run_stamp()
-    staging = Staging(samples.sparkSession)
-    is_new = F.col("sheet") == new_sheet if new_sheet else F.lit(False)
-    rows, metrics = _cleaned(staging, samples, labels, is_new)
-    regular = rows.where(~F.col("is_new")).drop("is_new")
-    new = rows.where("is_new").drop("is_new")
-    # Tagging only compares keys, so the tags are not worth writing down.
-    sets = inject_new(split_dataset(regular, ratios, seed), new)
-
-    sizes = {r.split: r.n for r in sets.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    sizes = {name: sizes.get(name, 0) for name in SETS}
-    if full_set:
-        sizes[FULL_SET] = sum(m.final_count for m in metrics.values())
-    records_path = run_path(output, "records", stamp, fmt.suffix)
-    wanted = full_and_splits(sets) if full_set else sets
-    export(wanted, records_path, fmt, prompt, prefix, sizes)
-
-    report_path = None
-    if report:
-        report_path = run_path(output, "analysis_report", stamp, ".txt")
-        hist = staging.table(split_histogram(sets), "histogram")
-        write_report(hist, report_path, (WHOLE, *SETS))
-    staging.clear()
-    return SplitRun(records_path, report_path, sizes, metrics)
+    with Staging(samples.sparkSession) as staging:
+        rows, metrics = _cleaned(staging, samples, labels, in_member(new_sheet))
+        regular = rows.where(~F.col("is_new")).drop("is_new")
+        new = rows.where("is_new").drop("is_new")
+        # Tagging only compares keys, so the tags are not worth writing down.
+        sets = inject_new(split_dataset(regular, ratios, seed, staging=staging), new)
+
+        sizes = {r.split: r.n for r in sets.groupBy("split").agg(F.count("*").alias("n")).collect()}
+        sizes = {name: sizes.get(name, 0) for name in SETS}
+        if full_set:
+            sizes[FULL_SET] = sum(m.final_count for m in metrics.values())
+        records_path = run_path(output, "records", stamp, fmt.suffix)
+        wanted = full_and_splits(sets) if full_set else sets
+        export(wanted, records_path, fmt, prompt, prefix, sizes)
+
+        report_path = None
+        if report:
+            report_path = run_path(output, "analysis_report", stamp, ".txt")
+            hist = staging.table(split_histogram(sets), "histogram")
+            write_report(hist, report_path, (WHOLE, *SETS))
+        return SplitRun(records_path, report_path, sizes, metrics)
 
 
 def full_job(samples: DataFrame, output: str, report: bool = True, **options) -> SplitRun:
@@ -147,12 +146,11 @@ def clean_job(
     stamp: str | None = None,
 ) -> tuple[str, Row]:
     """Write the cleaned (input, output) table of all members; (path, counters)."""
-    staging = Staging(samples.sparkSession)
-    rows, metrics = _cleaned(staging, samples, labels, F.lit(False))
-    path = run_path(output, "cleaned", stamp or run_stamp())
-    write_table(rows.select("input", "output"), path, format)
-    staging.clear()
-    return path, metrics["regular"]
+    with Staging(samples.sparkSession) as staging:
+        rows, metrics = _cleaned(staging, samples, labels, F.lit(False))
+        path = run_path(output, "cleaned", stamp or run_stamp())
+        write_table(rows.select("input", "output"), path, format)
+        return path, metrics["regular"]
 
 
 def convert_job(
@@ -167,23 +165,22 @@ def convert_job(
 ) -> tuple[str, int]:
     """Write the records of all members, cleaned unless told otherwise; (path, rows)."""
     fmt = get_format(fmt)
-    staging = Staging(samples.sparkSession)
-    if skip_validation:
-        rows = staging.table(samples, "samples")
-    else:
-        rows, _ = _cleaned(staging, samples, labels, F.lit(False))
-        rows = rows.drop("is_new")
-    path = run_path(output, "records", stamp or run_stamp(), fmt.suffix)
-    sizes = export(
-        rows.withColumn("split", F.lit(FULL_SET)),
-        path,
-        fmt,
-        prompt,
-        prefix,
-        {FULL_SET: rows.count()},
-    )
-    staging.clear()
-    return path, sizes[FULL_SET]
+    with Staging(samples.sparkSession) as staging:
+        if skip_validation:
+            rows = staging.table(samples, "samples")
+        else:
+            rows, _ = _cleaned(staging, samples, labels, F.lit(False))
+            rows = rows.drop("is_new")
+        path = run_path(output, "records", stamp or run_stamp(), fmt.suffix)
+        sizes = export(
+            rows.withColumn("split", F.lit(FULL_SET)),
+            path,
+            fmt,
+            prompt,
+            prefix,
+            {FULL_SET: rows.count()},
+        )
+        return path, sizes[FULL_SET]
 
 
 @dataclass(frozen=True)
@@ -231,74 +228,77 @@ def conflict_job(
         raise RuntimeError("the conflict job needs an encoder")
     check_parameters(k, threshold)
     staging = Staging(samples.sparkSession)
-    rows = cleaning.drop_null_rows(cleaning.blank_tokens(samples))
-    query_rows = staging.table(
-        rows.where(F.col("output") == query_label).select("seq", "input"), "query_rows"
-    )
-    queries = staging.table(_distinct_texts(query_rows, "q_id"), "queries")
-    refs = staging.table(
-        _distinct_texts(rows.where(F.col("output") == reference_label), "r_id"), "refs"
-    )
-    if queries.isEmpty():
-        raise ValueError(f"no row is labelled {query_label!r}")
-    if refs.isEmpty():
-        raise ValueError(f"no row is labelled {reference_label!r}")
-
-    ref_vectors = staging.table(
-        embed_cached(
-            refs, encoder, cache, encoder_id, batch_size=batch_size, refresh=refresh_cache
-        ).select("r_id", "embedding"),
-        "ref_vectors",
-    )
-    query_vectors = staging.table(
-        embed(
-            queries.select("q_id", "input"),
-            encoder,
-            batch_size=batch_size,
-            tasks=samples.sparkSession.sparkContext.defaultParallelism,
-        ),
-        "query_vectors",
-    )
-    texts = topk_cosine(query_vectors, ref_vectors, k)
-    # A copy of a reference text ranks right behind the text's first row.
-    counts = refs.select("r_id", F.least(F.col("n"), F.lit(k)).alias("copies"))
-    matches = staging.table(texts, "matches")
-    per_ref = matches.groupBy("r_id").agg(F.count("*").alias("n"))
-    n_matches = matches.count()
-    order = W.partitionBy("q_id").orderBy(F.desc("similarity"), "r_id", "copy")
-    neighbours = staging.table(
-        salted_join(matches, counts, "r_id", "q_id", per_ref, n_matches, rows_per_salt)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .withColumn("rank", F.row_number().over(order).cast("long"))
-        .where(F.col("rank") <= k)
-        .select("q_id", "r_id", "rank", "similarity"),
-        "neighbours",
-    )
-
-    hits = staging.table(flag(neighbours, threshold), "hits")
-    hits_per_ref = hits.groupBy("r_id").agg(F.count("*").alias("n"))
-    n_hits = hits.count()
-    ref_texts = refs.select("r_id", F.col("input").alias("similar_text"))
-    found = salted_join(hits, ref_texts, "r_id", "q_id", hits_per_ref, n_hits, rows_per_salt)
-    by_text = found.join(queries.select("q_id", "input", "n"), "q_id").select(
-        text_key(F.col("input")).alias("key"), "similarity", "similar_text", "rank"
-    )
-    keyed_rows = query_rows.withColumn("key", text_key(F.col("input")))
-    per_text = queries.select(text_key(F.col("input")).alias("key"), "n")
-    n_rows = query_rows.count()
-    flagged = staging.table(
-        salted_join(keyed_rows, by_text, "key", "seq", per_text, n_rows, rows_per_salt).select(
-            "seq", "input", reported().alias("similarity"), "similar_text", "rank"
-        ),
-        "flagged",
-    ).orderBy(F.desc("similarity"), "seq", "rank")
-    if output:
-        write_table(flagged.select("input", "similarity", "similar_text"), output, format)
-    return ConflictRun(
-        flagged,
-        conflict_summary(flagged, n_rows, threshold, k),
-        score_range(neighbours),
-        output,
-        staging,
-    )
+    try:
+        rows = cleaning.drop_null_rows(cleaning.blank_tokens(samples))
+        query_rows = staging.table(
+            rows.where(F.col("output") == query_label).select("seq", "input"), "query_rows"
+        )
+        queries = staging.table(_distinct_texts(query_rows, "q_id"), "queries")
+        refs = staging.table(
+            _distinct_texts(rows.where(F.col("output") == reference_label), "r_id"), "refs"
+        )
+        if queries.isEmpty():
+            raise ValueError(f"no row is labelled {query_label!r}")
+        if refs.isEmpty():
+            raise ValueError(f"no row is labelled {reference_label!r}")
+
+        ref_vectors = staging.table(
+            embed_cached(
+                refs, encoder, cache, encoder_id, batch_size=batch_size, refresh=refresh_cache
+            ).select("r_id", "embedding"),
+            "ref_vectors",
+        )
+        query_vectors = staging.table(
+            embed(
+                queries.select("q_id", "input"),
+                encoder,
+                batch_size=batch_size,
+                tasks=samples.sparkSession.sparkContext.defaultParallelism,
+            ),
+            "query_vectors",
+        )
+        texts = topk_cosine(query_vectors, ref_vectors, k)
+        # A copy of a reference text ranks right behind the text's first row.
+        counts = refs.select("r_id", F.least(F.col("n"), F.lit(k)).alias("copies"))
+        matches = staging.table(texts, "matches")
+        per_ref = matches.groupBy("r_id").agg(F.count("*").alias("n"))
+        n_matches = matches.count()
+        order = W.partitionBy("q_id").orderBy(F.desc("similarity"), "r_id", "copy")
+        neighbours = staging.table(
+            salted_join(matches, counts, "r_id", "q_id", per_ref, n_matches, rows_per_salt)
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .withColumn("rank", F.row_number().over(order).cast("long"))
+            .where(F.col("rank") <= k)
+            .select("q_id", "r_id", "rank", "similarity"),
+            "neighbours",
+        )
 
+        hits = staging.table(flag(neighbours, threshold), "hits")
+        hits_per_ref = hits.groupBy("r_id").agg(F.count("*").alias("n"))
+        n_hits = hits.count()
+        ref_texts = refs.select("r_id", F.col("input").alias("similar_text"))
+        found = salted_join(hits, ref_texts, "r_id", "q_id", hits_per_ref, n_hits, rows_per_salt)
+        by_text = found.join(queries.select("q_id", "input", "n"), "q_id").select(
+            text_key(F.col("input")).alias("key"), "similarity", "similar_text", "rank"
+        )
+        keyed_rows = query_rows.withColumn("key", text_key(F.col("input")))
+        per_text = queries.select(text_key(F.col("input")).alias("key"), "n")
+        n_rows = query_rows.count()
+        flagged = staging.table(
+            salted_join(keyed_rows, by_text, "key", "seq", per_text, n_rows, rows_per_salt).select(
+                "seq", "input", reported().alias("similarity"), "similar_text", "rank"
+            ),
+            "flagged",
+        ).orderBy(F.desc("similarity"), "seq", "rank")
+        if output:
+            write_table(flagged.select("input", "similarity", "similar_text"), output, format)
+        return ConflictRun(
+            flagged,
+            conflict_summary(flagged, n_rows, threshold, k),
+            score_range(neighbours),
+            output,
+            staging,
+        )
+    except BaseException:
+        staging.clear()
+        raise

@@ -60,7 +60,8 @@ def _placed(df: DataFrame, member: Member, keep: list[Column], staging: Staging,
         return df.select(F.lit("").alias("file"), F.col(member.order_col).alias("pos"), *keep), 1
     if isinstance(member.source, DataFrame):
         raise ValueError("a DataFrame member needs order_col: its rows have no order of their own")
-    files = len(df.inputFiles())
+    # The paths stay in the JVM, only their number is asked for.
+    files = len(df._jdf.inputFiles())
     path = F.col("_metadata.file_path").alias("file")
     if member.format == "parquet":
         return df.select(path, F.col("_metadata.row_index").alias("pos"), *keep), files
@@ -105,6 +106,26 @@ def _with_file_table(rows: DataFrame, table: DataFrame, on: list[str], size: int
     return joined.select("row.*", *(c for c in table.columns if c not in on))
 
 
+def usable_members(
+    spark: SparkSession,
+    members: Mapping[str, Member | str | DataFrame],
+    input_col: str = "input",
+    output_col: str = "output",
+    base: str | None = None,
+) -> list[tuple[int, str, Member, DataFrame]]:
+    """Number, name, member and rows of those that have both columns; only schemas are read."""
+    usable = []
+    for no, (name, given) in enumerate(members.items()):
+        member = given if isinstance(given, Member) else Member(given)
+        df = member.read(spark, base)
+        missing = [c for c in (input_col, output_col) if c not in df.columns]
+        if missing:
+            log.warning("member %r lacks columns %s, skipped", name, missing)
+        else:
+            usable.append((no, name, member, df))
+    return usable
+
+
 def load_samples(
     spark: SparkSession,
     members: Mapping[str, Member | str | DataFrame],
@@ -112,23 +133,19 @@ def load_samples(
     output_col: str = "output",
     null_tokens: Sequence[str] = (),
     base: str | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """All members that have both columns, projected, cast to string, stripped and united.
 
     A member without a required column is skipped with a warning; a missing path raises
     ``FileNotFoundError``; no usable member raises ``ValueError``. ``null_tokens`` is for sources
     whose reader should also treat texts such as ``NA`` as missing (``READER_NULL_TOKENS``).
-    ``base`` is the folder that member paths are relative to.
+    ``base`` is the folder that member paths are relative to. Members of text formats are written
+    down once, in ``staging`` if that is given: clear it when nothing reads the samples any more.
     """
-    staging = Staging(spark)
+    staging = staging or Staging(spark)
     parts, n_files = [], 0
-    for no, (name, given) in enumerate(members.items()):
-        member = given if isinstance(given, Member) else Member(given)
-        df = member.read(spark, base)
-        missing = [c for c in (input_col, output_col) if c not in df.columns]
-        if missing:
-            log.warning("member %r lacks columns %s, skipped", name, missing)
-            continue
+    for no, name, member, df in usable_members(spark, members, input_col, output_col, base):
         keep = [
             strip_text(F.col(f"`{input_col}`")).alias("input"),
             strip_text(F.col(f"`{output_col}`")).alias("output"),
@@ -169,15 +186,22 @@ def load_folder(
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         raise FileNotFoundError(f"no such input: {path}")
+    # Spark's writer escapes some characters of a name.
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     names = sorted(
         entry.getPath().getName()
         for entry in fs.listStatus(folder)
         if entry.isDirectory() and entry.getPath().getName().startswith("sheet=")
     )
-    members = {n.removeprefix("sheet="): Member(f"{path}/{n}", format=format) for n in names}
+    members = {unescape(n.removeprefix("sheet=")): Member(f"{path}/{n}", format=format) for n in names}
     return load_samples(spark, members, **options)
 
 
+def in_member(name: str | None) -> Column:
+    """Whether a row is of the member; a row without a member's name is of none."""
+    return F.col("sheet").eqNullSafe(F.lit(name)) if name else F.lit(False)
+
+
 def separate(
     samples: DataFrame, new_sheet: str | None = NEW_SHEET
 ) -> tuple[DataFrame, DataFrame]:
@@ -185,7 +209,7 @@ def separate(
 
     An empty or ``None`` name, or one that no member bears, leaves *new* empty.
     """
-    is_new = F.col("sheet") == new_sheet if new_sheet else F.lit(False)
+    is_new = in_member(new_sheet)
     return samples.where(~is_new), samples.where(is_new)
 
 
@@ -196,8 +220,10 @@ def load_separated(
     **options: object,
 ) -> tuple[DataFrame, DataFrame]:
     """(regular, new) straight from the members; no usable regular member is an error."""
+    columns = {k: v for k, v in options.items() if k in ("input_col", "output_col", "base")}
     regular = {name: m for name, m in members.items() if not new_sheet or name != new_sheet}
-    load_samples(spark, regular, **options)  # raises where no regular member is usable
+    if not usable_members(spark, regular, **columns):
+        raise ValueError("no regular member has the columns of the samples")
     return separate(load_samples(spark, members, **options), new_sheet)
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +16,6 @@ from labelmill.operators.formats import ARRAY, RecordFormat, get_format
 from labelmill.operators.rank import add_ids
 from labelmill.operators.records import to_json_lines, to_records
 
-# Records per part file of a JSON array.
-ROWS_PER_FILE = 1_000_000
-
 
 def run_stamp(now: datetime | None = None) -> str:
     """Stamp shared by all outputs of one run."""
@@ -32,43 +32,65 @@ def write_json_lines(lines: DataFrame, path: str) -> None:
     lines.select("split", "json").write.partitionBy("split").text(path)
 
 
-def write_json_array(
-    lines: DataFrame,
-    sizes: dict[str, int],
-    path: str,
-    rows_per_file: int = ROWS_PER_FILE,
-) -> None:
-    """``lines(split, id, json)`` as one JSON array per split.
-
-    The part files of a folder, joined in the order of their names, are the array; up to
-    ``rows_per_file`` records make a single file. ``sizes`` gives the rows per split: it says
-    which row closes the array, and which part file a row belongs to, so no sort over the whole
-    table is needed. An empty split is written as ``[]``.
+def write_json_array(lines: DataFrame, sizes: dict[str, int], path: str) -> None:
+    """``lines(split, json)`` as JSON arrays, one folder ``split=<name>`` per split.
+
+    Each part file is a whole array by itself, whatever the size; a split's records are those of all
+    its files. Rows stay in the task that read them. A split with 0 rows in ``sizes`` is written as
+    ``[]``.
     """
-    spark = lines.sparkSession
-    files, first = 0, {}
-    for split, n in sorted(sizes.items()):
-        first[split] = files
-        files += -(-n // rows_per_file)
-    place = spark.createDataFrame(
-        [(s, n, first[s]) for s, n in sizes.items()], "split string, last long, first long"
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``split, at, json``: a task's rows of a split between brackets. One row is held back
+        until it is known whether it closes the array."""
+        held, at, before = None, 0, None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, rows]) if held is not None else rows
+            names = table["split"].to_pylist()
+            ready = len(names) - 1
+            if ready < 0:
+                continue
+            yield _bracketed(table.slice(0, ready), names, before, at)
+            before, at, held = names[ready - 1] if ready else before, at + ready, table.slice(ready)
+        if held is not None:
+            yield _bracketed(held, [*held["split"].to_pylist(), None], before, at)
+
+    (
+        lines.select("split", "json")
+        .sortWithinPartitions("split")
+        .mapInArrow(bracketed, "split string, at long, json string")
+        .sortWithinPartitions("split", "at")
+        .select("split", "json")
+        .write.partitionBy("split")
+        .text(path)
+    )
+    empty = [(name, "[]") for name, n in sizes.items() if n == 0]
+    if empty:
+        none = lines.sparkSession.createDataFrame(empty, "split string, json string").coalesce(1)
+        none.write.mode("append").partitionBy("split").text(path)
+
+
+def _bracketed(
+    rows: pa.Table, names: list[str | None], before: str | None, at: int
+) -> pa.RecordBatch:
+    """``names`` has the splits of the rows and of the one after them, ``before`` the one before."""
+    n = rows.num_rows
+    own = names[:n]
+    opener = [",\n" if a == b else "[" for a, b in zip(own, [before, *own], strict=False)]
+    closer = ["" if a == b else "]" for a, b in zip(own, names[1 : n + 1], strict=True)]
+    json = rows["json"].combine_chunks()
+    if isinstance(json, pa.ChunkedArray):
+        json = pa.concat_arrays(json.chunks) if json.num_chunks else pa.array([], pa.string())
+    return pa.record_batch(
+        {
+            "split": pa.array(own, pa.string()),
+            "at": pa.array(range(at, at + n), pa.int64()),
+            "json": pc.binary_join_element_wise(
+                pa.array(opener, json.type), json, pa.array(closer, json.type), pa.scalar("", json.type)
+            ),
+        }
     )
-    if files:
-        opener = F.when(F.col("id") == 1, "[").otherwise(",")
-        closer = F.when(F.col("id") == F.col("last"), "]").otherwise("")
-        part = F.col("first") + F.floor((F.col("id") - 1) / F.lit(rows_per_file))
-        (
-            lines.join(F.broadcast(place), "split")
-            .select("split", "id", F.concat(opener, "json", closer).alias("json"), part.alias("p"))
-            .repartitionById(files, F.col("p").cast("int"))
-            .sortWithinPartitions("split", "id")
-            .select("split", "json")
-            .write.partitionBy("split")
-            .text(path)
-        )
-    empty = place.where("last = 0").select("split", F.lit("[]").alias("json")).coalesce(1)
-    if 0 in sizes.values():
-        empty.write.mode("append").partitionBy("split").text(path)
 
 
 def export(
@@ -78,22 +100,27 @@ def export(
     prompt: str = SYSTEM_PROMPT,
     prefix: str = "",
     sizes: dict[str, int] | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
+    ordered: bool = False,
 ) -> dict[str, int]:
     """Write the records of every split in one pass; returns the rows per split.
 
     Ids restart at 1 in each split, injected rows come last. Formats that need no ids are written
     straight from the scan, without any shuffle. ``sizes`` saves counting when it is known; list
-    a split with 0 rows there to have it written as an empty file.
+    a split with 0 rows there to have it written as an empty file. With ``ordered`` the part files,
+    in the order of their names, follow the source's order, which costs a range shuffle.
     """
     fmt = get_format(fmt)
     if sizes is None:
         sizes = {r.split: r.n for r in split.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    if fmt.with_id or fmt.container == ARRAY:
-        split = add_ids(split, ["split"], ["injected"] if "injected" in split.columns else [])
+    last = ["injected"] if "injected" in split.columns else []
+    if fmt.with_id:
+        split = add_ids(split, ["split"], last)
+    if ordered:
+        order = ["split", *last, "seq"]
+        split = split.repartitionByRange(*order).sortWithinPartitions(*order)
     lines = to_json_lines(to_records(split, fmt, prompt, prefix))
     if fmt.container == ARRAY:
-        write_json_array(lines, sizes, path, rows_per_file)
+        write_json_array(lines, sizes, path)
     else:
         write_json_lines(lines, path)
     return sizes

@@ -38,6 +38,12 @@ class Staging:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/labelmill/{uuid.uuid4().hex}"
 
+    def part(self) -> Staging:
+        """A folder of its own inside this one, cleared with it."""
+        inner = Staging(self.spark)
+        inner.root = f"{self.root}/{uuid.uuid4().hex}"
+        return inner
+
     def __enter__(self) -> Staging:
         return self
 

@@ -88,22 +88,39 @@ def test_json_lines_round_trip(spark, tmp_path):
         ]
 
 
-def test_json_array_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("tasks", [1, 5])
+def test_each_json_array_file_parses(spark, tmp_path, tasks):
     sizes = {"train": 25, "val": 10, "test": 0}
-    for name, rows_per_file, files in (("many", 10, 3), ("one", 1000, 1)):
-        path = tmp_path / name
-        sinks.export(
-            split_table(spark, train=25, val=10),
-            str(path),
-            "ark",
-            sizes=sizes,
-            rows_per_file=rows_per_file,
-        )
-        content, parts = folder(path, "train")
-        assert parts == files
-        assert [r["input"] for r in json.loads(content)] == [f"text train {i}" for i in range(25)]
-        assert len(json.loads(folder(path, "val")[0])) == 10
-        assert json.loads(folder(path, "test")[0]) == []
+    df = split_table(spark, train=25, val=10).repartition(tasks)
+    sinks.export(df, str(tmp_path / "a"), "ark", sizes=sizes)
+    found = {}
+    for split in sizes:
+        parts = sorted((tmp_path / "a" / f"split={split}").glob("part-*"))
+        arrays = [json.loads(p.read_text(encoding="utf-8")) for p in parts]
+        assert 1 <= len(arrays) <= tasks
+        found[split] = sorted(r["input"] for a in arrays for r in a)
+    assert found["train"] == sorted(f"text train {i}" for i in range(25))
+    assert len(found["val"]) == 10 and found["test"] == []
+
+
+def test_json_arrays_over_small_batches(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        sinks.export(split_table(spark, train=20, val=7).coalesce(1), str(tmp_path / "b"), "ark")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for split, n in (("train", 20), ("val", 7)):
+        (part,) = (tmp_path / "b" / f"split={split}").glob("part-*")
+        assert len(json.loads(part.read_text(encoding="utf-8"))) == n
+
+
+def test_ordered_json_lines(spark, tmp_path):
+    sinks.export(split_table(spark, train=40, val=9), str(tmp_path / "o"), "openai", ordered=True)
+    for split, n in (("train", 40), ("val", 9)):
+        lines = folder(tmp_path / "o", split)[0].splitlines()
+        assert [json.loads(line)["messages"][1]["content"] for line in lines] == [
+            f"text {split} {i}" for i in range(n)
+        ]
 
 
 def test_export_without_ids_does_not_shuffle(spark):
@@ -122,6 +139,30 @@ def test_id_buckets_do_not_change_ids(spark):
     assert ids(1) == ids(7) == ids(1 << 20)
 
 
+def test_ids_of_sparse_numbers_and_null_groups(spark):
+    df = spark.range(2000).selectExpr(
+        "id * 200000 as seq", "if(id % 10 = 0, null, concat('s', id % 2)) as split"
+    )
+    got = add_ids(df, width=100).collect()
+    assert len(got) == 2000
+    for name in (None, "s0", "s1"):
+        mine = sorted((r.seq, r.id) for r in got if r.split == name)
+        assert [i for _, i in mine] == list(range(1, len(mine) + 1))
+
+
+def test_places_over_a_range_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from labelmill.operators.rank import add_places
+    from labelmill.sources.staging import Staging
+
+    df = spark.range(500).selectExpr("id", "id % 7 as v")
+    with Staging(spark) as staging:
+        rows = add_places(df, (F.desc("v"), F.col("id")), staging, "t").collect()
+    ordered = sorted(rows, key=lambda r: (-r.v, r.id))
+    assert [r.place for r in ordered] == list(range(1, 501))
+
+
 @pytest.mark.parametrize("format", ["parquet", "csv"])
 def test_tables_keep_their_columns_when_empty(spark, tmp_path, format):
     schema = "input string, similarity double, similar_text string"

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from labelmill.defaults import SplitRatios
 from labelmill.operators import split
 from labelmill.operators.rank import add_ids
+from labelmill.sources.staging import Staging
 
 
 def table(spark, *counts):
@@ -121,6 +122,41 @@ def test_quotas_of_huge_tables_do_not_overflow(spark):
     counts = spark.createDataFrame(
         [("a", 3 * 10**12), ("b", 10**12 + 1)], "stratum string, rows long"
     )
-    got = {r.stratum: r for r in split.split_quotas(counts, SplitRatios()).collect()}
-    assert sum(r.q_test for r in got.values()) == got["a"].n_test == 400000000001
-    assert sum(r.q_val for r in got.values()) == got["a"].n_val
+    sizes = split.Sizes(4 * 10**12 + 1, 2, 10**12 + 1, SplitRatios())
+    with Staging(spark) as staging:
+        got = split.split_quotas(counts, sizes, staging).collect()
+    assert sum(r.q_test for r in got) == sizes.n_test == 400000000001
+    assert sum(r.q_val for r in got) == sizes.n_val
+
+
+def test_quotas_of_many_labels_are_the_same(spark, monkeypatch):
+    counts = spark.createDataFrame(
+        [(f"={i}", 2 + i * i % 17) for i in range(300)], "stratum string, rows long"
+    )
+    n = counts.agg({"rows": "sum"}).first()[0]
+    sizes = split.Sizes(n, 300, 2, SplitRatios())
+
+    def quotas():
+        with Staging(spark) as staging:
+            return sorted(map(tuple, split.split_quotas(counts, sizes, staging).collect()))
+
+    few = quotas()
+    monkeypatch.setattr(split, "BROADCAST_LABELS", 10)
+    assert quotas() == few
+
+
+def test_missing_labels_are_a_stratum(spark):
+    rows = [(i, None if i % 3 == 0 else f"l{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "seq long, output string")
+    for tagged in (split.stratified_split(df), split.split_dataset(df)):
+        got = tagged.groupBy("output", "split").count().collect()
+        assert sum(r["count"] for r in got) == 300
+        assert {r["count"] for r in got if r.split == "test"} == {10}
+
+
+def test_a_label_for_each_row_needs_no_quotas(spark):
+    df = spark.range(400).selectExpr("id as seq", "cast(id as string) as output")
+    cut = split._Cut(df, split._stratum(df.output), SplitRatios(), 1, 2)
+    assert cut.unstratifiable()
+    assert "quotas" not in vars(cut)
+    assert split.split_dataset(df).count() == 400
