@@ -23,6 +23,7 @@ HEADLINE = (
     "export_counts",
     "topk_cosine",
     "topk3_cosine",
+    "all_nearest_vectors",
     "conflict_pairs",
     "conflict_lexical",
     "embed_hashed",

@@ -279,7 +279,7 @@ def _turns(json: str, key: str, text_key: str) -> list:
 def _lines(spark, sf, fmt, prefix=""):
     rows = all_clean(spark, sf)
     if get_format(fmt).with_id:
-        rows = add_ids(rows, [], ["is_new"])
+        rows = add_ids(staged_clean(spark, sf), [], ["is_new"])
     return to_json_lines(to_records(rows, fmt, PROMPT, prefix))
 
 
@@ -419,14 +419,33 @@ def _reviewed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return docs.where("toxic = 1"), docs.where("quality = 1 and toxic = 0")
 
 
+def _halves(spark: SparkSession, sf: str, k: int) -> DataFrame:
+    """All vectors: those of five labels against those of the others."""
+    vectors = _table(spark, sf, "embeddings")
+    low, high = vectors.where("label < 5"), vectors.where("label >= 5")
+    return similarity.topk_cosine(low, high, k, None, "vec_id", "vec_id")
+
+
 @query
 def topk_cosine(spark, sf):
-    return _rounded(_neighbours(spark, sf, 1))
+    return _rounded(_halves(spark, sf, 1))
 
 
 @query
 def topk3_cosine(spark, sf):
-    return _rounded(_neighbours(spark, sf, 3))
+    return _rounded(_halves(spark, sf, 3))
+
+
+@query
+def nearest_few_references(spark, sf):
+    """All vectors, of which only the references, those of one label, are few enough to be sent."""
+    vectors = _table(spark, sf, "embeddings")
+    queries, refs = vectors.where("label > 0"), vectors.where("label = 0")
+    return _rounded(
+        similarity.topk_cosine(
+            queries, refs, 2, None, "vec_id", "vec_id", broadcast_bytes=128 << 10
+        )
+    )
 
 
 @query
@@ -445,6 +464,7 @@ def all_nearest_vectors(spark, sf):
 def conflict_pairs(spark, sf):
     """Neighbours at or above the threshold with the texts filed under the same ids."""
     flagged = similarity.flag(_neighbours(spark, sf, 3), 0.35)
+    flagged = Staging(spark).table(flagged, "flagged")
     docs = _table(spark, sf, "documents")
     found = similarity.attach_texts(flagged, docs, docs, "doc_id", "doc_id", "text")
     return _rounded(found).orderBy(F.desc("similarity"), "q_id", "rank")
@@ -459,7 +479,7 @@ def conflict_summary(spark, sf):
 
 @query
 def score_range(spark, sf):
-    scores = similarity.score_range(_neighbours(spark, sf, 3))
+    scores = similarity.score_range(_halves(spark, sf, 3))
     return scores.select(*(similarity.reported(c).alias(c) for c in scores.columns))
 
 

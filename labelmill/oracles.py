@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from labelmill.catalogue import DIM, PREFIX, PROMPT
 from labelmill.functions.text import NULL_TOKENS, WHITESPACE
+from labelmill.operators import analyze
+from labelmill.operators.analyze import WHOLE
 
 WS = f"'{WHITESPACE}'"
 TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
-PROMPT = "Answer keep or drop."
-PREFIX = "Judge this text:\n"
-WHOLE = "全量数据"
-DIM = 64
+
+
+def before_value(line: str) -> str:
+    """A report line up to its value, as an SQL string."""
+    return f"'{line.split('%')[0]}'"
 
 
 def python_round(x: str, digits: int) -> str:
@@ -162,7 +166,8 @@ def side(where: str) -> str:
     return f"select vec_id as id, embedding::double[] as v from embeddings where {where}"
 
 
-DENSE1, DENSE3 = (cosine(k, side("label = 1"), side("label = 0")) for k in (1, 3))
+DENSE3 = cosine(3, side("label = 1"), side("label = 0"))
+ALL1, ALL3 = (cosine(k, side("label < 5"), side("label >= 5")) for k in (1, 3))
 SHOWN = f"q_id, r_id, rank, {python_round('score', 4)} as similarity"
 
 
@@ -299,21 +304,26 @@ select seq, '{PROMPT}' as instruction, input, output from all_clean""",
     "report_text": f"""{with_tables(*BASE, SETS, NAMED)},
 stats as ({length_stats('named')}),
 lines as (
-  select dataset, unnest([repeat('=', 45), '  数据分析报告 — ' || dataset, repeat('=', 45),
-                          '  总条数：' || total, '', '  ── 标签分布 ──────────────────────────']) as line,
+  select dataset, unnest(['{analyze.RULE}', {before_value(analyze.TITLE)} || dataset,
+                          '{analyze.RULE}', {before_value(analyze.TOTAL)} || total, '',
+                          '{analyze.LABELS}']) as line,
          unnest(range(6)) as pos from stats
   union all
   select dataset, line, 5 + place from ({label_line('named')})
   union all
-  select dataset, unnest(['', '  ── input 文本长度（字符数）─────────',
-                          '  平均值   : ' || format('{{:.1f}}', mean), '  最大值   : ' || max,
-                          '  最小值   : ' || min, '  中位数   : ' || format('{{:.1f}}', p50),
-                          '  P90      : ' || format('{{:.1f}}', p90),
-                          '  P99      : ' || format('{{:.1f}}', p99), repeat('=', 45)]),
+  select dataset, unnest(['', '{analyze.LENGTHS}',
+                          {before_value(analyze.MEAN)} || format('{{:.1f}}', mean),
+                          {before_value(analyze.MAX)} || max, {before_value(analyze.MIN)} || min,
+                          {before_value(analyze.P50)} || format('{{:.1f}}', p50),
+                          {before_value(analyze.P90)} || format('{{:.1f}}', p90),
+                          {before_value(analyze.P99)} || format('{{:.1f}}', p99),
+                          '{analyze.RULE}']),
          unnest(range(1000, 1009)) from stats)
 select dataset, row_number() over (partition by dataset order by pos) as line_no, line from lines""",
-    "topk_cosine": f"{with_tables(DENSE1)} select {SHOWN} from matches",
-    "topk3_cosine": f"{with_tables(DENSE3)} select {SHOWN} from matches",
+    "topk_cosine": f"{with_tables(ALL1)} select {SHOWN} from matches",
+    "topk3_cosine": f"{with_tables(ALL3)} select {SHOWN} from matches",
+    "nearest_few_references": f"""{with_tables(cosine(2, side("label > 0"), side("label = 0")))}
+select {SHOWN} from matches""",
     "all_nearest_vectors": f"""{with_tables(cosine(2, side("label < 5"), side("label >= 5")))}
 select {SHOWN} from matches""",
     "conflict_pairs": f"""{with_tables(DENSE3)}
@@ -325,7 +335,7 @@ select (select count(*) from embeddings where label = 1) as total_checked,
        count(distinct q_id) as high_risk_count, count(*) as high_risk_rows,
        0.35::double as threshold, 3::bigint as topk
 from matches where score >= 0.35""",
-    "score_range": f"""{with_tables(DENSE3)}
+    "score_range": f"""{with_tables(ALL3)}
 select {python_round('min(score)', 4)} as min_similarity,
        {python_round('max(score)', 4)} as max_similarity from matches""",
     "conflict_lexical": f"{with_tables(lexical(1, '0.9'))} select {SHOWN} from matches",
