@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import SparkSession
@@ -25,9 +26,11 @@ LETTER[65:91] = LETTER[97:123] = True
 SIGN = np.zeros(256, bool)
 SIGN[33:48] = SIGN[58:65] = SIGN[91:97] = SIGN[123:127] = True
 SIGN[39] = False
-# One chunk: a blank at most, and no other white space.
-PLAIN = re.compile(r" ?\S+")
-LINE_END = "\n"
+# Where joined chunks are not plain: white space that is neither a line end between two chunks nor
+# the blank that opens one.
+ODD = re.compile(r"[^\S\n ]|\s\n|\n\n|(?<!\n) |  | \n| $|\n$|^\n")
+JOINED = 256
+# How special tokens begin.
 SPECIAL = b"<|"
 JOINED = 4096
 
@@ -41,9 +44,12 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     last = np.zeros(len(data), bool)
     last[:-1] = SPACE[data[:-1]] & SOLID[data[1:]]
     last[offsets[1:][offsets[1:] > 0] - 1] = False
+    special = SPECIAL in data.tobytes()
+    if special:  # a special token ends the text before it, so white space there stays together
+        last[:-1] &= data[1:] != SPECIAL[0]
     starts = last.copy()
     starts[1:] |= last[:-1] & (data[:-1] != 32)
-    if SPECIAL in data.tobytes():  # the vocabulary's special token is one piece
+    if special:
         return starts
     letter, sign = LETTER[data], SIGN[data]
     starts[1:] |= letter[:-1] & sign[1:]
@@ -52,35 +58,42 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _encoder(vocabulary: bytes) -> ChunkEncoder:
+def _tokenizer(vocabulary: bytes):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_buffer(vocabulary)
+    return Tokenizer.from_buffer(vocabulary)
+
+
+def chunk_encoder(vocabulary: bytes) -> ChunkEncoder:
+    """An encoder of its own for each task, so that its table goes when the task ends."""
+    tokenizer = _tokenizer(vocabulary)
 
     def ids_of(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    (line_end,) = ids_of([LINE_END])[0] or [-1]
-
-    def encode(chunks: list[str]) -> list[list[int]]:
-        """Plain chunks are encoded many at a time, with line ends, which stay apart, between."""
-        out: list[list[int]] = [[]] * len(chunks)
-        plain = [i for i, c in enumerate(chunks) if PLAIN.fullmatch(c)]
-        rest = set(range(len(chunks))).difference(plain)
-        for at in range(0, len(plain), JOINED):
-            group = plain[at : at + JOINED]
-            ids = np.array(ids_of([LINE_END.join(chunks[i] for i in group)])[0], np.int64)
-            ends = np.flatnonzero(ids == line_end)
-            if len(ends) != len(group) - 1:
-                rest.update(group)
-                continue
-            for i, part in zip(group, np.split(ids, ends), strict=True):
-                out[i] = part[1:].tolist() if i != group[0] else part.tolist()
-        apart = sorted(rest)
-        for i, ids in zip(apart, ids_of([chunks[i] for i in apart]), strict=True):
-            out[i] = ids
-        return out
+    line_end = ids_of(["\n"])[0]
+
+    def one_by_one(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = ids_of([c.decode() for c in chunks])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
+    def group(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Plain chunks are encoded together, with line ends, which stay apart, between them."""
+        joined = b"\n".join(chunks)
+        text = joined.decode()
+        if len(line_end) == 1 and SPECIAL not in joined and not ODD.search(text):
+            ids = np.array(ids_of([text])[0], np.int32)
+            ends = np.flatnonzero(ids == line_end[0])
+            if len(ends) == len(chunks) - 1:
+                sizes = np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
+                return np.delete(ids, ends), sizes
+        return one_by_one(chunks)
+
+    def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [group(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     return ChunkEncoder(cuts, encode)
 
@@ -92,9 +105,8 @@ class Vocabulary:
         with open(path, "rb") as file:
             self._sent = spark.sparkContext.broadcast(file.read())
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after another, and the row offsets in them."""
-        return _encoder(self._sent.value).encode(data, offsets)
+    def encoder(self) -> ChunkEncoder:
+        return chunk_encoder(self._sent.value)
 
 
 def with_end(ids: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from labelmill.llm.batches import flat, slices
 from labelmill.llm.byte_bpe import Vocabulary, with_end
+from labelmill.llm.chunks import ENCODE_BYTES
 from labelmill.sources.staging import Staging
 
 CAPACITY = 1024
@@ -149,11 +150,12 @@ def tokenized(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
+        encoder = vocabulary.encoder()
         seen = np.zeros(capacity, np.int64)
         blocks = 0
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, rows = with_end(*vocabulary.encode(*flat(part.column("text"))), end_id)
+            for part in slices(batch, "text", ENCODE_BYTES):
+                ids, rows = with_end(*encoder.encode(*flat(part.column("text"))), end_id)
                 kind = "<u2" if ids.max(initial=0) < 1 << 16 else "<u4"
                 raw = ids.astype(kind).tobytes()
                 width = np.dtype(kind).itemsize

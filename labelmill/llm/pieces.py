@@ -13,6 +13,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -23,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.batches import flat, slices
-from labelmill.llm.chunks import ChunkEncoder
+from labelmill.llm.chunks import ENCODE_BYTES, ChunkEncoder
 
 MARK = "▁"  # stands for a blank inside pieces
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 # Answers about pairs of pieces that a worker keeps.
-PAIRS = 2_000_000
+PAIRS = 1_000_000
 
 
 class MergeModel:
@@ -189,11 +190,23 @@ def cuts(data: np.ndarray, _offsets: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _loaded(model: bytes) -> tuple[MergeModel, ChunkEncoder]:
+def _model(model: bytes) -> MergeModel:
     own = MergeModel(model)
     if "\n" in own._pieces:
         raise ValueError("models with pieces that have line ends are not supported")
-    return own, ChunkEncoder(cuts, lambda chunks: [own.encode_chunk(c) for c in chunks])
+    return own
+
+
+def loaded(model: bytes) -> tuple[MergeModel, ChunkEncoder]:
+    """The model, and an encoder with a table of its own."""
+    own = _model(model)
+
+    def encode_chunks(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [own.encode_chunk(c.decode()) for c in chunks]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
+    return own, ChunkEncoder(cuts, encode_chunks)
 
 
 def with_first_blank(texts: pa.Array) -> pa.Array:
@@ -216,9 +229,9 @@ def encode(
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, encoder = _loaded(sent.value)
+        model, encoder = loaded(sent.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODE_BYTES):
                 ids, rows = encoder.encode(*flat(with_first_blank(part.column("text"))))
                 data, ends = model.decode(ids, rows)
                 n = part.num_rows

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from labelmill.llm.batches import flat, slices
 from labelmill.llm.byte_bpe import Vocabulary, with_end
+from labelmill.llm.chunks import ENCODE_BYTES
 from labelmill.llm.ranges import in_id_ranges
 
 # Fixed values of the coding: values in a word for the selectors 1 to 15.
@@ -40,13 +41,10 @@ RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
-    need = np.zeros(len(values), np.int16)
-    left = values.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        large = left >> U64(step) != 0
-        need[large] += step
-        left[large] >>= U64(step)
-    return need + (left != 0)
+    if values.max(initial=0) >> U64(52):
+        high = _bits(values >> U64(32))
+        return np.where(high > 0, high + 32, _bits(values & U64(0xFFFFFFFF))).astype(np.int16)
+    return np.frexp(values.astype(np.float64))[1].astype(np.int16)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,18 +83,15 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lane = np.arange(blocks)
     at = np.zeros(blocks, np.int64)
     used = np.minimum(BLOCK, n - lane * BLOCK)
-    words_lane, words_at = [], []
+    starts = np.zeros((blocks, BLOCK), bool)
     while len(lane):
-        words_lane.append(lane)
-        words_at.append(at)
+        starts[lane, at] = True
         at = follow[lane, at]
-        more = at < used[lane]
-        lane, at = lane[more], at[more]
-    lane, at = np.concatenate(words_lane), np.concatenate(words_at)
-    order = np.lexsort((at, lane))
-    lane, at = lane[order], at[order]
+        more = at < used
+        lane, at, used = lane[more], at[more], used[more]
+    place = np.flatnonzero(starts)
+    lane, at = place // BLOCK, place % BLOCK
     chosen = selector[lane, at].astype(np.int64)
-    place = lane * BLOCK + at
     word = chosen.astype(np.uint64) << U64(60)
     for s in np.unique(chosen):
         if s <= 1:
@@ -171,6 +166,7 @@ def write(
     vocabulary = Vocabulary(docs.sparkSession, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = vocabulary.encoder()
         part, first, held, doc_ids, ends, size = None, 0, [], [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -189,8 +185,8 @@ def write(
             )
 
         for batch in batches:
-            for piece in slices(batch, "text"):
-                ids, rows = with_end(*vocabulary.encode(*flat(piece.column("text"))), end_id)
+            for piece in slices(batch, "text", ENCODE_BYTES):
+                ids, rows = with_end(*encoder.encode(*flat(piece.column("text"))), end_id)
                 parts = piece.column("part").to_numpy()
                 names = piece.column("doc_id").to_pylist()
                 cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]

@@ -28,7 +28,7 @@ def texts(count=4000):
 
 def test_pieces_equal_the_library():
     with open(path("piece_bpe_32k.model"), "rb") as file:
-        model, encoder = pieces._loaded(file.read())
+        model, encoder = pieces.loaded(file.read())
     library = sentencepiece.SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
     made = texts()
     ids, rows = encoder.encode(*flat(pieces.with_first_blank(pa.array(made))))
@@ -42,7 +42,7 @@ def test_pieces_equal_the_library():
 def test_byte_bpe_equals_the_library(monkeypatch):
     monkeypatch.setattr(chunks, "REMEMBERED", 300)
     with open(path("byte_bpe_50k.json"), "rb") as file:
-        encoder = byte_bpe._encoder(file.read())
+        encoder = byte_bpe.chunk_encoder(file.read())
     library = Tokenizer.from_file(path("byte_bpe_50k.json"))
     made = texts()
     for at in range(0, len(made), 500):
