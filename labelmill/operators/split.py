@@ -256,14 +256,27 @@ def split_dataset(
     staging: Staging | None = None,
 ) -> DataFrame:
     """Stratified where possible, else random. ``df`` is read three times: stage costly input."""
+    return split_with_sizes(df, ratios, seed, label_col, digits, staging)[0]
+
+
+def split_with_sizes(
+    df: DataFrame,
+    ratios: SplitRatios = SplitRatios(),
+    seed: int = SEED,
+    label_col: str = "output",
+    digits: int = DIGITS,
+    staging: Staging | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """``split_dataset``, and the rows of each split, which the cut knows without counting."""
     cut = _Cut(df, _stratum(F.col(label_col)), ratios, seed, digits, staging)
     if cut.sizes.smallest < 3:
         log.warning("a label has only %d rows, the split may ignore labels", cut.sizes.smallest)
     reason = cut.unstratifiable()
     if reason:
         log.warning("splitting without regard to labels: %s", reason)
-        return random_split(df, ratios, seed, digits, staging)
-    return cut.tag()
+        cut = _Cut(df, F.lit(""), ratios, seed, digits, staging)
+    s = cut.sizes
+    return cut.tag(), {"train": s.n_train, "val": s.n_val, "test": s.n_test}
 
 
 def inject_new(

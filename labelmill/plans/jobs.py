@@ -36,7 +36,7 @@ from labelmill.operators.similarity import (
     topk_cosine,
 )
 from labelmill.operators.skew import ROWS_PER_SALT, salted_join
-from labelmill.operators.split import inject_new, split_dataset
+from labelmill.operators.split import inject_new, split_with_sizes
 from labelmill.sources.members import in_member
 from labelmill.sources.sinks import export, run_path, run_stamp, write_report, write_table
 from labelmill.sources.staging import Staging
@@ -115,10 +115,11 @@ def split_job(
         regular = rows.where(~F.col("is_new")).drop("is_new")
         new = rows.where("is_new").drop("is_new")
         # Tagging only compares keys, so the tags are not worth writing down.
-        sets = inject_new(split_dataset(regular, ratios, seed, staging=staging), new)
+        tagged, cut = split_with_sizes(regular, ratios, seed, staging=staging)
+        sets = inject_new(tagged, new)
 
-        sizes = {r.split: r.n for r in sets.groupBy("split").agg(F.count("*").alias("n")).collect()}
-        sizes = {name: sizes.get(name, 0) for name in SETS}
+        n_new = metrics["new"].final_count if "new" in metrics else 0
+        sizes = {name: cut[name] + n_new * (name != "test") for name in SETS}
         if full_set:
             sizes[FULL_SET] = sum(m.final_count for m in metrics.values())
         records_path = run_path(output, "records", stamp, fmt.suffix)

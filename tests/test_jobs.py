@@ -187,3 +187,13 @@ def test_salted_join_is_a_join(spark):
     got = salted_join(df, lookup, "key", "id", counts, 900, rows_per_salt=20)
     want = [(i, v) for i, key in rows for k, v in [("hot", 1), ("hot", 2), ("k1", 3)] if k == key]
     assert Counter((r.id, r.v) for r in got.collect()) == Counter(want)
+
+
+def test_staging_is_cleared_also_after_an_error(spark, samples, tmp_path, monkeypatch):
+    from labelmill.sources import staging
+
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "shared"))
+    jobs.clean_job(samples, str(tmp_path / "out"), ["寿险意图", "拒识"])
+    with pytest.raises(jobs.EmptyResult):
+        jobs.clean_job(samples, str(tmp_path / "none"), ["no such label"])
+    assert not [p for p in (tmp_path / "shared").rglob("*") if p.is_file()]
