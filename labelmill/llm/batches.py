@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at a time inside a task; one longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15

@@ -429,7 +429,10 @@ def _still_open(left: DataFrame, open_tokens: DataFrame, least: Column) -> DataF
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("met"))
         .where(F.size("met") >= least)
         .select(
-            "node", "comp", F.slice("met", 1, (F.size("met") - least + 1).cast("int")).alias("met")
+            "node",
+            "comp",
+            F.array_min(F.expr("transform(met, m -> struct(m.token, m.df))")).alias("first"),
+            F.slice("met", 1, (F.size("met") - least + 1).cast("int")).alias("met"),
         )
     )
 
@@ -466,11 +469,12 @@ def _cross_links(
     placed = open_sets.select(
         "node",
         "comp",
-        # Sets with the same rarest shingle lie together, in several shards if there are many.
+        # Sets with the same first shingle lie together, in several shards if there are many: those
+        # that have much in common mostly share it, so a search goes to few shards.
         F.pmod(
             F.xxhash64(
-                F.expr("met[0].token"),
-                F.pmod(F.xxhash64("node"), F.ceil(F.expr("met[0].df") / GROUP_SETS)),
+                "first.token",
+                F.pmod(F.xxhash64("node"), F.ceil(F.col("first.df") / GROUP_SETS)),
             ),
             F.lit(shards),
         )
