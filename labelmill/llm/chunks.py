@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Chunks that a task remembers; a full table starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 # Longer chunks are not remembered.
 LONGEST = 64
 # Bytes of text to encode at a time: the more, the fewer chunks are looked up again.

@@ -34,7 +34,7 @@ INDEX_BYTES = 1 << 20
 ANCHOR_SEGMENTS = 8192
 REFINED = (16, 1)
 # Texts longer than this are read in overlapping pieces.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 POSITION_BITS = 22
 
 ROWS = "anchor long, digest long, row long, s long, e long, p long"
