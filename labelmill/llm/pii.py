@@ -1,39 +1,44 @@
 """Personal data in texts, and the terms that give it away.
 
 Entities (e-mail and IP addresses, card and telephone numbers) are found by patterns. A term that
-stands near an entity in several different texts reveals it by their mutual information, estimated
-from the numbers of documents that have the entity, the term, and both; a term that carries nearly
-all of the entity's own information is generalised, or removed, in the documents that have the
-entity.
+stands near an entity reveals it by their mutual information, estimated from the numbers of
+documents that have the entity, the term, and both; a term that carries nearly all of the entity's
+own information is generalised, or removed, in the documents that have the entity. The same goes for
+what an entity shares with others: its kind, and the local part and the domain of an address.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.batches import flat, slices
+from labelmill.llm.batches import U64, flat, mix, slices
 from labelmill.llm.lookup import fresh
+from labelmill.operators.skew import salted_join
 from labelmill.sources.staging import Staging
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # Terms within so many words of an entity are its company.
 WINDOW = 8
 LEAST_LETTERS = 3
-# Different texts that must have an entity and a term together.
-SUPPORT = 3
+# How likely a term and an entity may be to meet as often by accident: one document is enough among 500.
+CHANCE = 0.002
 # Shares of an entity's information that a term must carry to be generalised, and to be removed.
 GENERALISE = 0.8
 REMOVE = 0.95
 # Pairs of entity and term, or terms, that may be broadcast (16 and 8 bytes each).
 BROADCAST_PAIRS = 1 << 20
+# Different terms that a task counts before it hands them on.
+COUNTED_TERMS = 500_000
 
 AROUND = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
@@ -88,6 +93,11 @@ def entities(text: str) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+@lru_cache(1 << 17)
+def _word_hash(word: str) -> int:
+    return _hash(word.lower())
+
+
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
@@ -100,6 +110,17 @@ def entity_key(text: str, span: Span) -> int:
     return _hash(f"{kind}:{value}")
 
 
+def entity_keys(text: str, spans: list[Span]) -> set[int]:
+    """Keys of the entities, of their kinds, and of the local parts and domains of addresses."""
+    keys = set()
+    for kind, start, end in spans:
+        keys |= {entity_key(text, (kind, start, end)), _hash(f"kind:{kind}")}
+        if kind == "email":
+            local, _, domain = text[start:end].lower().partition("@")
+            keys |= {_hash(f"local:{local}"), _hash(f"domain:{domain}")}
+    return keys
+
+
 def _free_terms(text: str, spans: list[Span]) -> list[tuple[int, int]]:
     """Words outside of the entities."""
     out, i = [], 0
@@ -113,19 +134,14 @@ def _free_terms(text: str, spans: list[Span]) -> list[tuple[int, int]]:
 
 
 def company(text: str, spans: list[Span]) -> set[tuple[int, int]]:
-    """Pairs of entity and nearby term."""
+    """Pairs of entity key and nearby term."""
     terms = _free_terms(text, spans)
     starts = [s for s, _ in terms]
-    hashed: dict[str, int] = {}
     found = set()
     for span in spans:
-        key = entity_key(text, span)
         i = int(np.searchsorted(starts, span[1]))
-        for s, e in terms[max(0, i - WINDOW) : i + WINDOW]:
-            word = text[s:e].lower()
-            if word not in hashed:
-                hashed[word] = _hash(word)
-            found.add((key, hashed[word]))
+        near = {_word_hash(text[s:e]) for s, e in terms[max(0, i - WINDOW) : i + WINDOW]}
+        found |= {(key, term) for key in entity_keys(text, [span]) for term in near}
     return found
 
 
@@ -147,23 +163,45 @@ def general(word: str) -> str:
 
 @dataclass
 class Disclosure:
-    """For each entity the terms that reveal it, with the share of its information they carry."""
+    """For each entity key the terms that reveal it, with the share of its information they carry."""
 
     terms: dict[int, dict[int, float]] = field(default_factory=dict)
 
+    def of(self, keys: Collection[int], terms: Collection[int]) -> dict[int, float]:
+        """Those of the terms that reveal one of the keys, with their greatest share."""
+        known = [self.terms[k] for k in keys if k in self.terms]
+        return {t: max(k[t] for k in known if t in k) for t in terms if any(t in k for k in known)}
+
     def spans(self, text: str, base: list[Span]) -> list[tuple[str, int, int, float]]:
         """Terms of the text that reveal one of its entities."""
-        shares: dict[int, float] = {}
-        for key in {entity_key(text, s) for s in base}:
-            for term, share in self.terms.get(key, {}).items():
-                shares[term] = max(share, shares.get(term, 0.0))
-        if not shares:
-            return []
-        out = []
-        for s, e in _free_terms(text, base):
-            share = shares.get(_hash(text[s:e].lower()))
-            if share is not None:
-                out.append(("term", s, e, share))
+        free = [(s, e, _word_hash(text[s:e])) for s, e in _free_terms(text, base)]
+        shares = self.of(entity_keys(text, base), {t for _, _, t in free})
+        return [("term", s, e, shares[t]) for s, e, t in free if t in shares]
+
+
+def _pairs(entity: np.ndarray, term: np.ndarray) -> np.ndarray:
+    return mix(mix(entity.astype(np.int64).view(U64)) ^ term.astype(np.int64).view(U64))
+
+
+class Packed(Disclosure):
+    """The same in two arrays, by the hash of entity key and term."""
+
+    def __init__(self, entity: np.ndarray, term: np.ndarray, share: np.ndarray) -> None:
+        pairs = _pairs(entity, term)
+        order = np.argsort(pairs)
+        self._pairs, self._shares = pairs[order], share[order]
+
+    def of(self, keys: Collection[int], terms: Collection[int]) -> dict[int, float]:
+        out: dict[int, float] = {}
+        if len(self._pairs) == 0 or not terms:
+            return out
+        term = np.fromiter(terms, np.int64, len(terms))
+        for key in keys:
+            pairs = _pairs(np.array([key]), term)
+            at = np.minimum(np.searchsorted(self._pairs, pairs), len(self._pairs) - 1)
+            hit = self._pairs[at] == pairs
+            for t, share in zip(term[hit].tolist(), self._shares[at[hit]].tolist(), strict=True):
+                out[t] = max(share, out.get(t, 0.0))
         return out
 
 
@@ -189,11 +227,21 @@ def _texts(part: pa.RecordBatch, column: str, rows: np.ndarray) -> list[str]:
     return [t or "" for t in part.column(column).take(pa.array(rows)).to_pylist()]
 
 
+def _beside(pairs: DataFrame, lookup: DataFrame, key: str, other: str) -> DataFrame:
+    """Inner join on ``key``: a small lookup is broadcast, else the pairs of a hot key are spread."""
+    if lookup.count() <= BROADCAST_PAIRS:
+        return pairs.join(F.broadcast(lookup), key)
+    counts = pairs.groupBy(key).agg(F.count("*").alias("n"))
+    return salted_join(pairs, lookup, key, other, counts, pairs.count())
+
+
 def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``entity, term, share``: terms that carry GENERALISE or more of an entity's information.
+    """``entity, term, share``: terms that carry GENERALISE or more of an entity key's information.
 
     ``share = log2(n * both / (entity * term)) / log2(n / entity)`` with numbers of documents, for
-    pairs that at least SUPPORT different texts have within WINDOW words. All documents are counted.
+    terms within WINDOW words of the entity. All documents are counted, and a single one is enough.
+    Pairs go that would meet as often by accident with a probability of more than CHANCE, by
+    Chernoff's bound: ``(entity / n) ** both`` where all documents with the term have the entity.
     """
     staging = Staging(docs.sparkSession)
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
@@ -201,70 +249,63 @@ def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                out: list[tuple[int, int, int]] = []
+                out: list[tuple[int, int]] = []
                 for text in _texts(part, "text", _suspects(part, "text")):
                     spans = entities(text)
-                    if not spans:
-                        continue
-                    own = _hash(text)
-                    out += [(e, t, own) for e, t in company(text, spans)]
-                    # Term 0 stands for the entity alone.
-                    out += [(e, 0, own) for e in {entity_key(text, s) for s in spans}]
-                columns = zip(*out, strict=True) if out else ((), (), ())
-                names = ("entity", "term", "text_key")
+                    if spans:
+                        out += company(text, spans)
+                        # Term 0 stands for the entity alone.
+                        out += [(e, 0) for e in entity_keys(text, spans)]
+                entity, term = zip(*out, strict=True) if out else ((), ())
                 yield pa.record_batch(
-                    {n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)}
+                    {"entity": pa.array(entity, pa.int64()), "term": pa.array(term, pa.int64())}
                 )
 
     met = (
-        rows.mapInArrow(meet, "entity long, term long, text_key long")
-        .groupBy("entity", "term", "text_key")
-        .agg(F.count("*").alias("c"))
+        rows.mapInArrow(meet, "entity long, term long")
         .groupBy("entity", "term")
-        .agg(F.sum("c").alias("docs"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= SUPPORT)
+        .agg(F.count("*").alias("docs"))
     )
     met = staging.table(met, "met")
     alone = met.where("term = 0").select("entity", F.col("docs").alias("entity_docs"))
     pairs = met.where("term <> 0").select("entity", "term", F.col("docs").alias("both"))
-    terms = pairs.select("term").distinct()
-    n_terms = terms.count()
+    terms = staging.table(pairs.select("term").distinct(), "terms")
     wanted = None
-    if n_terms <= BROADCAST_PAIRS:
-        wanted = np.sort(np.array([r.term for r in terms.collect()], np.int64))
+    if terms.count() <= BROADCAST_PAIRS:
+        wanted = np.sort(terms.toArrow().column("term").to_numpy())
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
-        total = 0
-        counts: dict[int, int] = {}
-        asked = None if sent.value is None else set(sent.value.tolist())
+        asked = sent.value
+        total, kept = 0, []
 
         def flush() -> pa.RecordBatch:
-            batch = pa.record_batch(
+            every = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in kept)])
+            docs_of = np.concatenate([np.zeros(0, np.int64), *(c for _, c in kept)])
+            term, at = np.unique(every, return_inverse=True)
+            docs_of = np.bincount(at, docs_of, len(term)).astype(np.int64)
+            kept.clear()
+            return pa.record_batch(
                 {
-                    "term": pa.array([0, *counts], pa.int64()),
-                    "docs": pa.array([total, *counts.values()], pa.int64()),
+                    "term": pa.array(np.append(term, 0), pa.int64()),
+                    "docs": pa.array(np.append(docs_of, total), pa.int64()),
                 }
             )
-            counts.clear()
-            return batch
 
         for batch in batches:
             for part in slices(batch, "text"):
                 total += part.num_rows
-                if asked is not None and not asked:
+                if asked is not None and len(asked) == 0:
                     continue
+                found = []
                 for text in _texts(part, "text", np.arange(part.num_rows)):
-                    for word in set(TERM.findall(text.lower())):
-                        term = known.get(word)
-                        if term is None:
-                            if len(known) > 500_000:
-                                known.clear()
-                            term = known[word] = _hash(word)
-                        if asked is None or term in asked:
-                            counts[term] = counts.get(term, 0) + 1
-                if len(counts) > 500_000:
+                    found += {_word_hash(w) for w in set(TERM.findall(text))}
+                term, docs_of = np.unique(np.array(found, np.int64), return_counts=True)
+                if asked is not None:
+                    at = np.minimum(np.searchsorted(asked, term), len(asked) - 1)
+                    term, docs_of = term[asked[at] == term], docs_of[asked[at] == term]
+                kept.append((term, docs_of))
+                if sum(len(t) for t, _ in kept) > COUNTED_TERMS:
                     yield flush()
                     total = 0
         yield flush()
@@ -274,18 +315,16 @@ def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
         "counted",
     )
     n = counted.where("term = 0").agg(F.sum("docs")).first()[0] or 0
-    shares = (
-        pairs.join(alone, "entity")
-        .join(counted.withColumnRenamed("docs", "term_docs"), "term")
-        .where(F.col("entity_docs") < n)
-        .select(
-            "entity",
-            "term",
-            (
-                F.log2(n * F.col("both") / (F.col("entity_docs") * F.col("term_docs")))
-                / F.log2(n / F.col("entity_docs"))
-            ).alias("share"),
-        )
+    met = _beside(pairs, alone, "entity", "term").where(F.col("entity_docs") < n)
+    met = _beside(met, counted.withColumnRenamed("docs", "term_docs"), "term", "entity")
+    both, entity_docs, term_docs = F.col("both"), F.col("entity_docs"), F.col("term_docs")
+    apart = term_docs - both
+    likely = F.when(apart > 0, apart * F.log(apart * n / (term_docs * (n - entity_docs)))).otherwise(0)
+    likely = both * F.log(both * n / (term_docs * entity_docs)) + likely
+    shares = met.where(likely >= -log(CHANCE)).select(
+        "entity",
+        "term",
+        (F.log2(n * both / (entity_docs * term_docs)) / F.log2(n / entity_docs)).alias("share"),
     )
     return staging.table(shares.where(F.col("share") >= GENERALISE), "shares")
 
@@ -308,39 +347,50 @@ def _revealed(docs: DataFrame, shares: DataFrame, text_col: str) -> tuple[DataFr
     """The rows, and the disclosure table at hand in the tasks: sent whole if it is small, else
     joined by text as a last column."""
     if shares.count() <= BROADCAST_PAIRS:
-        table: dict[int, dict[int, float]] = {}
-        for r in shares.collect():
-            table.setdefault(r.entity, {})[r.term] = r.share
-        return docs, _by_broadcast(docs.sparkSession.sparkContext.broadcast(Disclosure(table)))
+        table = shares.toArrow()
+        known = Packed(*(table.column(c).to_numpy() for c in ("entity", "term", "share")))
+        return docs, _by_broadcast(docs.sparkSession.sparkContext.broadcast(known))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 out = []
                 for text in _texts(part, "text", _suspects(part, "text")):
-                    out += [(entity_key(text, s), _hash(text)) for s in entities(text)]
-                entity, own = zip(*out, strict=True) if out else ((), ())
+                    spans = entities(text)
+                    if spans:
+                        terms = {_word_hash(text[s:e]) for s, e in _free_terms(text, spans)}
+                        one = _hash(text)
+                        out += [(e, t, one) for e in entity_keys(text, spans) for t in terms]
+                columns = zip(*out, strict=True) if out else ((), (), ())
+                names = ("entity", "term", own)
                 yield pa.record_batch(
-                    {"entity": pa.array(entity, pa.int64()), "own": pa.array(own, pa.int64())}
+                    {n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)}
                 )
 
     own, found = fresh("_own", docs.columns), fresh("_found", docs.columns)
     by_text = (
         docs.select(F.col(text_col).cast("string").alias("text"))
-        .mapInArrow(keys, "entity long, own long")
-        .distinct()
-        .join(shares, "entity")
-        .groupBy(F.col("own").alias(own))
-        .agg(F.collect_list(F.struct("entity", "term", "share")).alias(found))
+        .mapInArrow(keys, f"entity long, term long, {own} long")
+        .join(shares, ["entity", "term"])
+        .groupBy(own)
+        .agg(F.collect_set(F.struct("entity", "term", "share")).alias(found))
     )
 
     def own_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = [_hash(t or "") for t in batch.column(text_col).to_pylist()]
-            yield batch.append_column(own, pa.array(key, pa.int64()))
-
-    keyed = docs.mapInArrow(own_key, docs.withColumn(own, F.lit(0).cast("long")).schema)
-    return keyed.join(by_text, own, "left").select(*docs.columns, found), _by_column
+            for part in slices(batch, text_col):
+                key: list[int | None] = [None] * part.num_rows
+                rows = _suspects(part, text_col)
+                for row, text in zip(rows.tolist(), _texts(part, text_col, rows), strict=True):
+                    key[row] = _hash(text) if entities(text) else None
+                yield part.append_column(own, pa.array(key, pa.int64()))
+
+    # Only rows that have entities are shuffled.
+    keyed = docs.mapInArrow(own_key, docs.withColumn(own, F.lit(None).cast("long")).schema)
+    held = keyed.where(F.col(own).isNotNull()).join(by_text, own, "left").select(*docs.columns, found)
+    bare = keyed.where(F.col(own).isNull()).select(*docs.columns)
+    bare = bare.withColumn(found, F.lit(None).cast(by_text.schema[found].dataType))
+    return held.unionByName(bare), _by_column
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -71,6 +71,31 @@ def test_terms_that_reveal(make):
     assert spans["email"].share is None
 
 
+def test_rare_entities_reveal(make):
+    """An address of one text, and different addresses whose domain gives a name away."""
+    rows = [(i, f"common words {i} stand in every text number {i}") for i in range(600)]
+    rows.append((1000, "Winterbottom, in common words, wrote to solo@alone.net"))
+    rows += [(1010 + i, f"every common Kestrel text {'abc'[i] * 3}{i}@kestrel.org") for i in range(3)]
+    rows.append((1020, "Kestrel, in common words"))
+    found = {r.doc_id: r for r in pii.find(make(rows)).collect()}
+    assert found[1000].sanitised.startswith(", in common words")
+    assert "[EMAIL]" in found[1000].sanitised
+    for i in range(1010, 1013):
+        assert found[i].sanitised == "every common [NAME] text [EMAIL]"
+    n, domain, both, term = len(rows), 3, 3, 4
+    share = log2(n * both / (domain * term)) / log2(n / domain)
+    (kestrel,) = [s.share for s in found[1010].spans if s.kind == "term"]
+    assert abs(kestrel - share) < 1e-12
+    assert found[1020].spans == []
+
+
+def test_query_gives_terms(spark):
+    rows = QUERIES["op7_disclosure_pii"](spark, "/root/testdata/sf0.01").collect()
+    held = [r for r in rows if r.n_email + r.n_ip + r.n_card + r.n_phone]
+    assert sum("term:" in r.spans for r in held) > len(held) // 2
+    assert not any(r.spans for r in rows if r not in held)
+
+
 def test_without_broadcast(make, monkeypatch):
     rows = corpus()
     expected = sorted(map(tuple, pii.find(make(rows)).collect()))
