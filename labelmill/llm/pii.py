@@ -1,7 +1,7 @@
 """Personal data in texts, and the terms that give it away.
 
 Entities (e-mail and IP addresses, card and telephone numbers) are found by patterns. A term that
-stands near an entity reveals it by their mutual information, estimated from the numbers of
+stands in documents of an entity reveals it by their mutual information, estimated from the numbers of
 documents that have the entity, the term, and both; a term that carries nearly all of the entity's
 own information is generalised, or removed, in the documents that have the entity. The same goes for
 what an entity shares with others: its kind, and the local part and the domain of an address.
@@ -27,9 +27,6 @@ from labelmill.operators.skew import salted_join
 from labelmill.sources.staging import Staging
 
 KINDS = ("email", "ip", "card", "phone", "term")
-# Terms within so many words of an entity are its company.
-WINDOW = 8
-LEAST_LETTERS = 3
 # How likely a term and an entity may be to meet as often by accident: one document is enough among 500.
 CHANCE = 0.002
 # Shares of an entity's information that a term must carry to be generalised, and to be removed.
@@ -47,7 +44,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGITS = re.compile(r"[^0-9]+")
-TERM = re.compile(r"[^\W\d_]{%d,}" % LEAST_LETTERS)
+# Words of three letters, and words of two letters and numbers that stand alone.
+TERM = re.compile(r"[^\W\d_]{3,}|(?<![^\W_])(?:[^\W\d_]{2}|\d+)(?![^\W_])")
 
 Span = tuple[str, int, int]
 
@@ -121,30 +119,28 @@ def entity_keys(text: str, spans: list[Span]) -> set[int]:
     return keys
 
 
+def is_term(word: str) -> bool:
+    """Whether a match of TERM is one: words of two small letters are not."""
+    return len(word) != 2 or not word.islower()
+
+
+def terms_of(text: str) -> set[int]:
+    """Hashes of all terms, those inside of entities too."""
+    return {_word_hash(w) for w in set(TERM.findall(text)) if is_term(w)}
+
+
 def _free_terms(text: str, spans: list[Span]) -> list[tuple[int, int]]:
-    """Words outside of the entities."""
+    """Terms outside of the entities."""
     out, i = [], 0
     merged = joined(spans)
     for m in TERM.finditer(text):
         while i < len(merged) and merged[i][1] <= m.start():
             i += 1
-        if i == len(merged) or merged[i][0] >= m.end():
+        if (i == len(merged) or merged[i][0] >= m.end()) and is_term(m.group()):
             out.append(m.span())
     return out
 
 
-def company(text: str, spans: list[Span]) -> set[tuple[int, int]]:
-    """Pairs of entity key and nearby term."""
-    terms = _free_terms(text, spans)
-    starts = [s for s, _ in terms]
-    found = set()
-    for span in spans:
-        i = int(np.searchsorted(starts, span[1]))
-        near = {_word_hash(text[s:e]) for s, e in terms[max(0, i - WINDOW) : i + WINDOW]}
-        found |= {(key, term) for key in entity_keys(text, [span]) for term in near}
-    return found
-
-
 def joined(spans: list[Span]) -> list[tuple[int, int, str]]:
     """Spans without overlaps: those that overlap are one, of the first one's kind."""
     out: list[list] = []
@@ -227,6 +223,12 @@ def _texts(part: pa.RecordBatch, column: str, rows: np.ndarray) -> list[str]:
     return [t or "" for t in part.column(column).take(pa.array(rows)).to_pylist()]
 
 
+def _crossed(keys: set[int], terms: set[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Every key with every term."""
+    key, term = np.array([*keys], np.int64), np.array([*terms], np.int64)
+    return np.repeat(key, len(term)), np.tile(term, len(key))
+
+
 def _beside(pairs: DataFrame, lookup: DataFrame, key: str, other: str) -> DataFrame:
     """Inner join on ``key``: a small lookup is broadcast, else the pairs of a hot key are spread."""
     if lookup.count() <= BROADCAST_PAIRS:
@@ -238,8 +240,8 @@ def _beside(pairs: DataFrame, lookup: DataFrame, key: str, other: str) -> DataFr
 def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``entity, term, share``: terms that carry GENERALISE or more of an entity key's information.
 
-    ``share = log2(n * both / (entity * term)) / log2(n / entity)`` with numbers of documents, for
-    terms within WINDOW words of the entity. All documents are counted, and a single one is enough.
+    ``share = log2(n * both / (entity * term)) / log2(n / entity)`` with numbers of documents, each
+    counted whole, with all of its terms. All documents are counted, and a single one is enough.
     Pairs go that would meet as often by accident with a probability of more than CHANCE, by
     Chernoff's bound: ``(entity / n) ** both`` where all documents with the term have the entity.
     """
@@ -249,17 +251,12 @@ def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                out: list[tuple[int, int]] = []
                 for text in _texts(part, "text", _suspects(part, "text")):
                     spans = entities(text)
                     if spans:
-                        out += company(text, spans)
                         # Term 0 stands for the entity alone.
-                        out += [(e, 0) for e in entity_keys(text, spans)]
-                entity, term = zip(*out, strict=True) if out else ((), ())
-                yield pa.record_batch(
-                    {"entity": pa.array(entity, pa.int64()), "term": pa.array(term, pa.int64())}
-                )
+                        entity, term = _crossed(entity_keys(text, spans), {0, *terms_of(text)})
+                        yield pa.record_batch({"entity": entity, "term": term})
 
     met = (
         rows.mapInArrow(meet, "entity long, term long")
@@ -299,7 +296,7 @@ def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
                     continue
                 found = []
                 for text in _texts(part, "text", np.arange(part.num_rows)):
-                    found += {_word_hash(w) for w in set(TERM.findall(text))}
+                    found += terms_of(text)
                 term, docs_of = np.unique(np.array(found, np.int64), return_counts=True)
                 if asked is not None:
                     at = np.minimum(np.searchsorted(asked, term), len(asked) - 1)
@@ -354,18 +351,12 @@ def _revealed(docs: DataFrame, shares: DataFrame, text_col: str) -> tuple[DataFr
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                out = []
                 for text in _texts(part, "text", _suspects(part, "text")):
                     spans = entities(text)
                     if spans:
-                        terms = {_word_hash(text[s:e]) for s, e in _free_terms(text, spans)}
-                        one = _hash(text)
-                        out += [(e, t, one) for e in entity_keys(text, spans) for t in terms]
-                columns = zip(*out, strict=True) if out else ((), (), ())
-                names = ("entity", "term", own)
-                yield pa.record_batch(
-                    {n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)}
-                )
+                        entity, term = _crossed(entity_keys(text, spans), terms_of(text))
+                        one = np.full(len(term), _hash(text))
+                        yield pa.record_batch({"entity": entity, "term": term, own: one})
 
     own, found = fresh("_own", docs.columns), fresh("_found", docs.columns)
     by_text = (

@@ -89,6 +89,18 @@ def test_rare_entities_reveal(make):
     assert found[1020].spans == []
 
 
+def test_terms_far_from_the_entity(make):
+    """A name in the first line, a two-letter name and a number, with the address at the foot."""
+    rows = [(i, f"common words {'xyz'[i % 3]} stand in every text, to say so") for i in range(600)]
+    words = "common words stand in every text " * 20
+    rows += [(1000 + i, f"Winterbottom Li 4711 {words * (i + 1)} to w@place.org") for i in range(2)]
+    rows.append((1010, f"Short Winterbottom Li 4711 {words}"))
+    found = {r.doc_id: r for r in pii.find(make(rows)).collect()}
+    for i in range(2):
+        assert found[1000 + i].sanitised == f"[NAME] [NAME] [WORD] {words * (i + 1)} to [EMAIL]"
+    assert found[1010].spans == []
+
+
 def test_query_gives_terms(spark):
     rows = QUERIES["op7_disclosure_pii"](spark, "/root/testdata/sf0.01").collect()
     held = [r for r in rows if r.n_email + r.n_ip + r.n_card + r.n_phone]
