@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.llm import (
+    filter_audit,
     fingerprint,
     jaccard,
     licenses,
@@ -149,3 +150,62 @@ def op9_simple8b_ids(spark: SparkSession, sf: str) -> DataFrame:
 def op10_quartile_digest(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return fingerprint.compare_edited(_table(spark, sf, "documents"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What five filters remove from every source's documents, in all 120 orders."""
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+ORACLES["op12_filter_audit"] = """
+with w as (
+    select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                       lambda x: x <> '') as ws,
+           min(doc_id) over (partition by coalesce(text, '')) as first
+    from documents
+), l as (
+    select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic
+    from labels group by doc_id
+), f as (
+    select part, good, toxic,
+           case when len(ws) < 50 then 'A' else '' end
+           || case when 100 * len(list_distinct(ws)) < 65 * len(ws) then 'B' else '' end
+           || case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))
+                        > 5 * length(t) then 'C' else '' end
+           || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+           || case when doc_id > first then 'E' else '' end as fails
+    from w left join l using (doc_id)
+), m as (
+    select part, fails, count(*) as n, count(*) filter (good) as good,
+           count(*) filter (toxic) as toxic
+    from f group by all
+), x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+o as (
+    select a.x || b.x || c.x || d.x || e.x as filter_order
+    from x a join x b on b.x <> a.x join x c on c.x not in (a.x, b.x)
+    join x d on d.x not in (a.x, b.x, c.x) join x e on e.x not in (a.x, b.x, c.x, d.x)
+), s as (
+    select filter_order, unnest(range(1, 6))::int as step from o
+), g as (
+    select part, filter_order, step, substr(filter_order, step, 1) as filter, n, good, toxic,
+           contains(fails, substr(filter_order, step, 1)) as failing,
+           fails = substr(filter_order, step, 1) as alone,
+           translate(fails, substr(filter_order, 1, step - 1), '') = fails as before,
+           translate(fails, substr(filter_order, 1, step), '') = fails as after
+    from m cross join s
+), r as (
+    select part, filter_order, step, filter,
+           coalesce(sum(n) filter (after), 0)::bigint as kept,
+           coalesce(sum(n) filter (before and failing), 0)::bigint as removed,
+           coalesce(sum(n) filter (not before and failing), 0)::bigint as redundant,
+           coalesce(sum(n) filter (alone), 0)::bigint as unique_fails,
+           coalesce(sum(good) filter (before and failing), 0)::bigint as good_lost,
+           coalesce(sum(toxic) filter (before and failing), 0)::bigint as toxic_lost
+    from g group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, filter))::bigint as shapley
+from r
+"""
