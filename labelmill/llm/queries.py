@@ -14,6 +14,7 @@ from labelmill.llm import (
     jaccard,
     licenses,
     packing,
+    periodic,
     pieces,
     pii,
     repeats,
@@ -209,3 +210,10 @@ select part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        (sum(removed) over (partition by part, filter))::bigint as shapley
 from r
 """
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words in every document, some of them given a tail that repeats."""
+    docs = periodic.with_tails(_table(spark, sf, "documents"))
+    return periodic.summary(periodic.runs(docs))
