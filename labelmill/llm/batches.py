@@ -8,6 +8,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from xxhash import xxh3_64_intdigest
 
 # Bytes of text handled at a time inside a task; one longer text is handled alone.
 SLICE_BYTES = 1 << 20
@@ -76,7 +77,12 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class SpanHashes:
-    """64-bit hashes of any spans of a byte string, equal for equal spans wherever they stand."""
+    """64-bit hashes of any spans of a byte string, equal for equal spans wherever they stand.
+
+    Sums modulo 2**64 of the values, each times a power: strings of two values in the order of Thue and
+    Morse, and the same with both exchanged, have equal sums. Where a span is hashed but once, as
+    words are, ``span_hashes`` has no such patterns.
+    """
 
     def __init__(self, values: np.ndarray) -> None:
         """``values``: one unsigned 64-bit value for each place."""
@@ -88,13 +94,27 @@ class SpanHashes:
         return mix((self._sums[ends] - self._sums[starts]) * self._down[starts])
 
 
-@cache
-def _byte_values() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * U64(BASE))
+# Spans are mixed in by 8 bytes up to this length; longer ones are hashed one by one.
+MIXED_BYTES = 64
+FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-def byte_values(data: np.ndarray) -> np.ndarray:
-    return _byte_values()[data]
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans, each by itself: equal for equal spans, not a sum over their bytes."""
+    lengths = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # The 8 bytes from any place on, as one number.
+    grams = np.ndarray((len(data) + 1,), "<u8", padded.data, 0, (1,))
+    hashes = mix(lengths.astype(np.uint64) * U64(BASE))
+    for done in range(0, MIXED_BYTES, 8):
+        live = np.flatnonzero(lengths > done)
+        if not len(live):
+            break
+        value = grams[starts[live] + done] & FIRST_BYTES[np.minimum(8, lengths[live] - done)]
+        hashes[live] = mix((hashes[live] ^ value) + U64(BASE))
+    for i in np.flatnonzero(lengths > MIXED_BYTES).tolist():
+        hashes[i] = xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return hashes
 
 
 class Words:
@@ -126,7 +146,7 @@ class Words:
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
     """Words of the texts with A-Z in lower case, and their hashes."""
     words = Words(data, offsets)
-    return words, SpanHashes(byte_values(LOWER[data])).of(words.starts, words.ends)
+    return words, span_hashes(LOWER[data], words.starts, words.ends)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:

@@ -20,12 +20,11 @@ from labelmill.llm.batches import (
     BASE,
     LOWER,
     U64,
-    SpanHashes,
     Words,
-    byte_values,
     flat,
     mix,
     slices,
+    span_hashes,
 )
 
 # Words in a fingerprint, and runs in a window: a match of RUN + WINDOW - 1 words is never missed.
@@ -102,7 +101,7 @@ LETTERS[128:] = LETTERS[48:58] = LETTERS[65:91] = LETTERS[97:123] = True
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
     """Runs of letters and digits, A-Z in lower case, and their hashes."""
     words = Words(data, offsets, LETTERS)
-    return words, SpanHashes(byte_values(LOWER[data])).of(words.starts, words.ends)
+    return words, span_hashes(LOWER[data], words.starts, words.ends)
 
 
 def _runs(hashes: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.llm import (
+    bottom_k,
     filter_audit,
     fingerprint,
     jaccard,
@@ -153,6 +154,18 @@ def op10_quartile_digest(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.compare_edited(_table(spark, sf, "documents"))
 
 
+@query
+def op11_bottom_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents joined by 80 hundredths of their four-word shingles, one of each group kept."""
+    docs = _table(spark, sf, "documents")
+    return bottom_k.near_duplicates(docs, words=4, num=80, den=100)
+
+
+ORACLES["op11_bottom_k"] = """
+select *, doc_id = component_id as kept from ({linked})
+""".format(linked=ORACLES["op5_ngram_jaccard"].replace(">= 85 *", ">= 80 *"))
+
+
 @query
 def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     """What five filters remove from every source's documents, in all 120 orders."""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.batches import LOWER, SpanHashes, Words, byte_values, flat, slices
+from labelmill.llm.batches import LOWER, Words, flat, slices, span_hashes
 
 # Labelled rows of each grade that a fit may use, in order of a hash of their id.
 SAMPLE_PER_GRADE = 5000
@@ -46,14 +46,14 @@ def severity(quality: Column, toxic: Column) -> Column:
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and feature number of each word and word beginning, repetitions included."""
     words = Words(data, offsets, LETTERS)
-    hashes = SpanHashes(byte_values(LOWER[data]))
+    lower = LOWER[data]
     row = words.row_of()
-    rows, ids = [row], [hashes.of(words.starts, words.ends)]
+    rows, ids = [row], [span_hashes(lower, words.starts, words.ends)]
     for size in BEGINNINGS:
         longer = words.ends - words.starts > size
         starts = words.starts[longer]
         rows.append(row[longer])
-        ids.append(hashes.of(starts, starts + size) + np.uint64(size))
+        ids.append(span_hashes(lower, starts, starts + size) + np.uint64(size))
     mask = np.uint64((1 << BITS) - 1)
     return np.concatenate(rows), (np.concatenate(ids) & mask).astype(np.int64)
 
