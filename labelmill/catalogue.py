@@ -460,6 +460,18 @@ def all_nearest_vectors(spark, sf):
     )
 
 
+@query
+def near_documents(spark, sf):
+    """Hashed vectors of all documents against all: regions that are too far apart do not meet."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    vectors = Staging(spark).table(embed(docs, HashedTokenEncoder(DIM), "text"), "vectors")
+    return _rounded(
+        similarity.topk_cosine(
+            vectors, vectors, 3, 0.99, "doc_id", "doc_id", broadcast_bytes=0, block_bytes=64 << 10
+        )
+    )
+
+
 @query
 def conflict_pairs(spark, sf):
     """Neighbours at or above the threshold with the texts filed under the same ids."""
@@ -499,6 +511,15 @@ def topk3_lexical(spark, sf):
     )
 
 
+@query
+def lexical_all_documents(spark, sf):
+    """The whole table against itself, by token counts."""
+    docs = _table(spark, sf, "documents")
+    return _rounded(
+        similarity.topk_lexical(docs, docs, 3, 0.9, "doc_id", "doc_id", "text", _cores(spark))
+    )
+
+
 @query
 def l2_normalize_query(spark, sf):
     scaled = F.transform("embedding", lambda x: x.cast("double") * (F.col("label") * 2))

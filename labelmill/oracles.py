@@ -340,6 +340,32 @@ select {python_round('min(score)', 4)} as min_similarity,
        {python_round('max(score)', 4)} as max_similarity from matches""",
     "conflict_lexical": f"{with_tables(lexical(1, '0.9'))} select {SHOWN} from matches",
     "topk3_lexical": f"{with_tables(lexical(3, '-2'))} select {SHOWN} from matches",
+    "near_documents": f"""{with_tables(
+        "docs as (select doc_id as id, text from documents)",
+        hashed("docs"),
+        """norms as (select id, sqrt(sum(weight * weight)) as norm from weights group by id),
+dots as (
+  select a.id as q_id, b.id as r_id, sum(a.weight * b.weight) as dot
+  from weights a join weights b using (bucket) group by all),
+matches as (
+  select q_id, r_id, round(dot / (q.norm * r.norm), 12) as score,
+         row_number() over (partition by q_id order by score desc, r_id) as rank
+  from dots join norms q on q.id = q_id join norms r on r.id = r_id
+  where score >= 0.99 qualify rank <= 3)""")} select {SHOWN} from matches""",
+    "lexical_all_documents": f"""{with_tables("""
+tf as (
+  select id, token, count(*) as c
+  from (select doc_id as id, unnest(string_split(lower(text), ' ')) as token from documents)
+  where token <> '' group by all),
+norms as (select id, sqrt(sum(c * c)::double) as norm from tf group by id),
+dots as (
+  select q.id as q_id, r.id as r_id, sum(q.c * r.c)::double as dot
+  from tf q join tf r using (token) group by all),
+matches as (
+  select q_id, r_id, round(dot / (nq.norm * nr.norm), 12) as score,
+         row_number() over (partition by q_id order by score desc, r_id) as rank
+  from dots join norms nq on nq.id = q_id join norms nr on nr.id = r_id
+  where score >= 0.9 qualify rank <= 3)""")} select {SHOWN} from matches""",
     "l2_normalize": """
 select vec_id, unnest(range(len(v))) as pos,
        unnest([round(if(norm > 0, x / norm, 0), 6) for x in v]) as value
