@@ -7,14 +7,17 @@ unique and carries the order of the rows: members in the order given, rows in fi
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from labelmill.defaults import NEW_SHEET
 from labelmill.functions.text import null_if_token, strip_text
@@ -23,7 +26,7 @@ from labelmill.sources.staging import Staging
 
 log = logging.getLogger(__name__)
 
-# Up to this many files or blocks their table of offsets is broadcast (about 20 MB).
+# Up to this many files or splits their table of offsets is broadcast (about 20 MB).
 BROADCAST_FILES = 100_000
 
 
@@ -46,6 +49,8 @@ class Member:
         paths = [self.source] if isinstance(self.source, str) else list(self.source)
         if base:
             paths = [f"{base}/{p}" for p in paths]
+        if self.format != "parquet" and not self.order_col:
+            spark = _pinned(spark)
         try:
             return spark.read.format(self.format).options(**self.options).load(paths)
         except AnalysisException as e:
@@ -54,37 +59,84 @@ class Member:
             raise
 
 
-def _placed(df: DataFrame, member: Member, keep: list[Column], staging: Staging, no: int):
-    """Rows of one member with ``file`` and ``pos``, a position that rises within the file."""
+PLACE = ["member", "sheet", "file", "block"]
+
+
+def _pinned(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, whose scans cut text files alike every time.
+
+    Where splits begin depends on settings and on the number of cores, both of which may change
+    between the count of a split's rows and the read of these rows. A scan keeps to the session it was
+    made in, and nobody changes this one.
+    """
+    pinned = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            pinned.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    pinned.conf.set(
+        "spark.sql.files.minPartitionNum", spark.conf.get("spark.sql.files.minPartitionNum", None) or cores
+    )
+    return pinned
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with ``pos``, their number within the split. A task reads one split after another."""
+    last, after = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = batch.column("block").to_numpy()
+        file = batch.column("file").dictionary_encode()
+        code = file.indices.to_numpy()
+        starts = np.flatnonzero((code[1:] != code[:-1]) | (block[1:] != block[:-1])) + 1
+        starts = np.concatenate([[0], starts])
+        lengths = np.diff(np.append(starts, batch.num_rows))
+        pos = np.arange(batch.num_rows) - np.repeat(starts, lengths)
+        if (batch.column("file")[0].as_py(), block[0]) == last:
+            pos[: lengths[0]] += after
+        last, after = (batch.column("file")[-1].as_py(), block[-1]), int(pos[-1]) + 1
+        yield batch.append_column("pos", pa.array(pos, pa.int64()))
+
+
+@dataclass(frozen=True)
+class _Scan:
+    """``rows`` have PLACE, ``pos`` that rises within a place, input and output; ``spans`` says for each
+    place how far ``pos`` goes (span) and how many rows there are (n)."""
+
+    rows: DataFrame
+    spans: DataFrame
+
+
+def _scan(
+    df: DataFrame, member: Member, no: int, sheet: Column, input_col: str, output_col: str
+) -> _Scan:
+    texts = [
+        strip_text(F.col(f"`{input_col}`")).alias("input"),
+        strip_text(F.col(f"`{output_col}`")).alias("output"),
+    ]
+    who = [F.lit(no).alias("member"), sheet.alias("sheet")]
+    no_block = F.lit(0).cast("long").alias("block")
     if member.order_col:
-        return df.select(F.lit("").alias("file"), F.col(member.order_col).alias("pos"), *keep), 1
+        pos = F.col(member.order_col).cast("long").alias("pos")
+        rows = df.select(*who, F.lit("").alias("file"), no_block, pos, *texts)
+        spans = rows.groupBy(*PLACE).agg((F.max("pos") + 1).alias("span"), F.count("*").alias("n"))
+        return _Scan(rows, spans.withColumn("outputs", F.lit(0).cast("long")))
     if isinstance(member.source, DataFrame):
         raise ValueError("a DataFrame member needs order_col: its rows have no order of their own")
-    # The paths stay in the JVM, only their number is asked for.
-    files = len(df._jdf.inputFiles())
-    path = F.col("_metadata.file_path").alias("file")
+    file = F.col("_metadata.file_path").alias("file")
     if member.format == "parquet":
-        return df.select(path, F.col("_metadata.row_index").alias("pos"), *keep), files
-    # Text formats have no row index. Each row takes at least one byte, so the block's byte
-    # offset plus the row's number within the block is unique and rising. The row numbers
-    # depend on how blocks are dealt to tasks, hence they are written down before use.
-    raw = staging.table(
-        df.select(
-            path,
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("mono"),
-            *keep,
-        ),
-        f"member_{no}",
-    )
-    blocks = staging.table(
-        raw.groupBy("file", "block").agg(F.min("mono").alias("mono0"), F.count("*").alias("n")),
-        f"blocks_{no}",
-    )
-    pos = (F.col("block") + F.col("mono") - F.col("mono0")).alias("pos")
-    names = [c for c in raw.columns if c not in ("file", "block", "mono")]
-    joined = _with_file_table(raw, blocks, ["file", "block"], blocks.count())
-    return joined.select("file", pos, *names), files
+        rows = df.select(*who, file, no_block, F.col("_metadata.row_index").alias("pos"), *texts)
+        # No column is read for it: the numbers of rows stand in the files' footers.
+        places = df.select(*who, file, no_block)
+        spans = places.groupBy(*PLACE).agg(F.count("*").alias("span"), F.count("*").alias("n"))
+        return _Scan(rows, spans.withColumn("outputs", F.lit(0).cast("long")))
+    raw = df.select(*who, file, F.col("_metadata.file_block_start").alias("block"), *texts)
+    # Both columns are asked for, since a reader may drop or keep a line by the columns it parses.
+    n = F.count("input") + F.count_if(F.col("input").isNull())
+    spans = raw.groupBy(*PLACE).agg(n.alias("span"), n.alias("n"), F.count("output").alias("outputs"))
+    names = "member int, sheet string, file string, block long, input string, output string"
+    return _Scan(raw.mapInArrow(_numbered, f"{names}, pos long"), spans)
 
 
 def _with_file_table(rows: DataFrame, table: DataFrame, on: list[str], size: int) -> DataFrame:
@@ -140,61 +192,84 @@ def load_samples(
     A member without a required column is skipped with a warning; a missing path raises
     ``FileNotFoundError``; no usable member raises ``ValueError``. ``null_tokens`` is for sources
     whose reader should also treat texts such as ``NA`` as missing (``READER_NULL_TOKENS``).
-    ``base`` is the folder that member paths are relative to. Members of text formats are written
-    down once, in ``staging`` if that is given: clear it when nothing reads the samples any more.
+    ``base`` is the folder that member paths are relative to. The number of rows of each file, or of
+    each split of a text file, is written down in ``staging``: clear it when nothing reads the
+    samples any more. No rows are.
     """
-    staging = staging or Staging(spark)
-    parts, n_files = [], 0
-    for no, name, member, df in usable_members(spark, members, input_col, output_col, base):
-        keep = [
-            strip_text(F.col(f"`{input_col}`")).alias("input"),
-            strip_text(F.col(f"`{output_col}`")).alias("output"),
-        ]
-        placed, files = _placed(df, member, keep, staging, no)
-        n_files += files
-        parts.append(
-            placed.withColumns({"member": F.lit(no), "sheet": F.lit(str(name))}).withColumn(
-                "pos", F.col("pos").cast("long")
-            )
-        )
-    if not parts:
+    scans = [
+        _scan(df, member, no, F.lit(str(name)), input_col, output_col)
+        for no, name, member, df in usable_members(spark, members, input_col, output_col, base)
+    ]
+    if not scans:
         raise ValueError(f"no member has the columns {input_col!r} and {output_col!r}")
+    return _in_order(spark, scans, null_tokens, staging or Staging(spark))
 
-    rows = reduce(DataFrame.unionByName, parts)
-    # One row per file: its rows start after those of all files before it.
-    before = W.orderBy("member", "file").rowsBetween(W.unboundedPreceding, -1)
+
+def _in_order(
+    spark: SparkSession, scans: list[_Scan], null_tokens: Sequence[str], staging: Staging
+) -> DataFrame:
+    """The rows of all scans with ``seq``: the span of all places before, and ``pos``."""
+    spans = staging.table(reduce(DataFrame.unionByName, (s.spans for s in scans)), "spans")
+    # One row for each file, or split of a text file.
+    before = W.orderBy(*PLACE).rowsBetween(W.unboundedPreceding, -1)
     start = F.coalesce(F.sum("span").over(before), F.lit(0)).alias("start")
-    starts = (
-        rows.groupBy("member", "file")
-        .agg((F.max("pos") + 1).alias("span"), F.count("*").alias("n"))
-        .select("member", "file", start, "n")
-    )
+    starts = spans.select(*PLACE, start, "n")
+    # Scans may be of other sessions; the result is of this one.
+    none = spark.createDataFrame([], scans[0].rows.schema)
+    rows = reduce(DataFrame.unionByName, (s.rows for s in scans), none)
     if null_tokens:
         rows = rows.withColumns(
             {c: null_if_token(F.col(c), null_tokens) for c in ("input", "output")}
         )
-    return _with_file_table(rows, starts, ["member", "file"], n_files).select(
+    return _with_file_table(rows, starts, PLACE, spans.count()).select(
         (F.col("start") + F.col("pos")).alias("seq"), "sheet", "input", "output"
     )
 
 
 def load_folder(
-    spark: SparkSession, path: str, format: str = "parquet", **options: object
+    spark: SparkSession,
+    path: str,
+    format: str = "parquet",
+    reader: Mapping[str, str] | None = None,
+    input_col: str = "input",
+    output_col: str = "output",
+    null_tokens: Sequence[str] = (),
+    staging: Staging | None = None,
 ) -> DataFrame:
-    """``load_samples`` over the members ``<path>/sheet=<name>/``, in the order of their names."""
+    """``load_samples`` over the members ``<path>/sheet=<name>/``, in the order of their names.
+
+    The folder is one partitioned data set: members of one schema are read by one scan, in which
+    ``sheet`` is the partition column. ``reader`` has options of the format.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         raise FileNotFoundError(f"no such input: {path}")
-    # Spark's writer escapes some characters of a name.
-    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     names = sorted(
         entry.getPath().getName()
         for entry in fs.listStatus(folder)
         if entry.isDirectory() and entry.getPath().getName().startswith("sheet=")
     )
-    members = {unescape(n.removeprefix("sheet=")): Member(f"{path}/{n}", format=format) for n in names}
-    return load_samples(spark, members, **options)
+    options = dict(reader or {})
+    members = {name: Member(f"{path}/{name}", format, options) for name in names}
+    alike: dict[str, list[str]] = {}
+    schemas = {}
+    for _, name, _, df in usable_members(spark, members, input_col, output_col):
+        columns = StructType([f for f in df.schema.fields if f.name != "sheet"])
+        alike.setdefault(columns.json(), []).append(f"{path}/{name}")
+        schemas[columns.json()] = columns
+    if not alike:
+        raise ValueError(f"no member has the columns {input_col!r} and {output_col!r}")
+    own = spark if format == "parquet" else _pinned(spark)
+    # What the partition column says of a member whose name is missing.
+    sheet = F.coalesce(F.col("sheet"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    scans = []
+    for key, paths in alike.items():
+        schema = StructType([*schemas[key].fields, StructField("sheet", StringType())])
+        df = own.read.format(format).options(**options).option("basePath", path).schema(schema)
+        member = Member(paths, format, options)
+        scans.append(_scan(df.load(paths), member, 0, sheet, input_col, output_col))
+    return _in_order(spark, scans, null_tokens, staging or Staging(spark))
 
 
 def in_member(name: str | None) -> Column:
