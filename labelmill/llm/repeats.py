@@ -475,13 +475,17 @@ def remove_repeats(
 
 
 def summary(removed: DataFrame) -> DataFrame:
-    """Counts and the digest of what is left, from ``remove_repeats``."""
+    """Counts, the digest of what is left, and its ``text``, from ``remove_repeats``.
+
+    Bytes of characters that were cut in two show as the replacement character in ``text``.
+    """
     return removed.select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
