@@ -13,10 +13,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.batches import LOWER, Words, flat, slices, span_hashes
+from labelmill.sources.staging import Staging
 
 # Labelled rows of each grade that a fit may use, in order of a hash of their id.
 SAMPLE_PER_GRADE = 5000
@@ -86,8 +88,8 @@ def fit_rows(
 ) -> OrdinalModel:
     """Maximum likelihood with a small ridge penalty, by Adam over the whole sample.
 
-    ``rows, ids`` list each feature of each row once; ``weight`` weighs rows. Grades that no row has
-    get a threshold out of reach; without rows of two grades every text gets the one grade.
+    ``rows, ids`` list each kept feature of each row once; ``weight`` weighs rows. Grades that no row
+    has get a threshold out of reach; without rows of two grades every text gets the one grade.
     """
     model = OrdinalModel()
     present = np.unique(grades)
@@ -95,18 +97,7 @@ def fit_rows(
         model.thresholds = np.where(np.arange(1, GRADES) <= present.max(initial=0), -50.0, 50.0)
         return model
     n = len(grades)
-    toxic = grades > 0
-    docs = np.bincount(ids, minlength=1 << BITS)
-    bad = np.bincount(ids[toxic[rows]], minlength=1 << BITS)
-    share = (bad + 0.5) / (toxic.sum() + 1), (docs - bad + 0.5) / ((~toxic).sum() + 1)
-    surprise = np.abs(np.log(share[0] / share[1])) * np.sqrt(docs)
-    surprise[docs < LEAST_DOCS] = 0
-    kept = np.argsort(-surprise, kind="stable")[:FEATURES]
-    kept = kept[surprise[kept] > 0]
-    number = np.full(1 << BITS, -1)
-    number[kept] = np.arange(len(kept))
-    used = number[ids] >= 0
-    rows, cols = rows[used], number[ids[used]]
+    kept, cols = np.unique(ids, return_inverse=True)
     # Column j - 1: whether a row reaches grade j.
     reached = grades[:, None] >= np.arange(1, GRADES)
     weight = weight / weight.sum()
@@ -190,26 +181,48 @@ def fit(
                     {"id": part.column("id"), "g": part.column("g"), "ids": lists}
                 )
 
-    # At most three times ``per_grade`` pairs of numbers: small enough to broadcast.
-    sample = (
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(chosen), "id")
-        .select("id", "g", "text")
-        .mapInArrow(sparse, "id long, g int, ids array<int>")
-        .toArrow()
-        # A fixed order makes the sums, and so the model, the same each time.
-        .sort_by("id")
-    )
-    grades = sample["g"].to_numpy().astype(np.int64)
-    lists = sample["ids"].combine_chunks()
+    with Staging(docs.sparkSession) as staging:
+        # At most three times ``per_grade`` pairs of numbers: small enough to broadcast.
+        sample = staging.table(
+            docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+            .join(F.broadcast(chosen), "id")
+            .select("id", "g", "text")
+            .mapInArrow(sparse, "id long, g int, ids array<int>"),
+            "sample",
+        )
+        # Only what the kept features of the sample are comes to the driver. A fixed order makes the
+        # sums, and so the model, the same each time.
+        kept = _features_kept(sample)
+        own = F.array_intersect("ids", F.array(*map(F.lit, kept))) if kept else F.array()
+        told = sample.select("id", "g", own.cast("array<int>").alias("ids")).toArrow().sort_by("id")
+    grades = told["g"].to_numpy().astype(np.int64)
+    lists = told["ids"].combine_chunks()
     ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    sizes = np.diff(lists.offsets.to_numpy())
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     rows = np.repeat(np.arange(len(grades)), sizes)
     taken = np.bincount(grades, minlength=GRADES)
     true = np.array([shares.get(g, 0) for g in range(GRADES)])
     return fit_rows(grades, rows, ids, true[grades] / np.maximum(taken[grades], 1))
 
 
+def _features_kept(sample: DataFrame) -> list[int]:
+    """The features of LEAST_DOCS documents or more that toxic texts have most unlike others."""
+    n_toxic, n_mild = sample.agg(F.count_if(F.col("g") > 0), F.count_if(F.col("g") == 0)).first()
+    docs, bad = F.col("docs"), F.col("bad")
+    odds = ((bad + 0.5) / (n_toxic + 1)) / ((docs - bad + 0.5) / (n_mild + 1))
+    told = (
+        sample.select("g", F.explode("ids").alias("feature"))
+        .groupBy("feature")
+        .agg(F.count("*").alias("docs"), F.count_if(F.col("g") > 0).alias("bad"))
+        .where(docs >= LEAST_DOCS)
+        .withColumn("surprise", F.abs(F.log(odds)) * F.sqrt("docs"))
+        .where("surprise > 0")
+        .orderBy(F.desc("surprise"), "feature")
+        .limit(FEATURES)
+    )
+    return [r.feature for r in told.select("feature").collect()]
+
+
 def score(
     docs: DataFrame, model: OrdinalModel, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -241,8 +254,16 @@ def score(
 def keep_mild(
     docs: DataFrame, model: OrdinalModel, *, text_col: str = "text", limit: float = REJECT
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose expected severity is below ``limit``."""
+    """The rows of ``docs``, all columns, whose expected severity is below ``limit``.
+
+    The limit holds for a model that expects nothing of a text without features. Where it expects
+    more, as after few labels, the limit rises in proportion, up to the highest severity, so that
+    rows go by what they say and not by the labels' shares.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    most = GRADES - 1
+    unknown = float(_sigmoid(-model.thresholds).sum())
+    limit = limit + unknown * (1 - limit / most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,10 +1,13 @@
+import math
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from labelmill.llm import toxicity
+from labelmill.llm.batches import span_hashes
 from labelmill.llm.queries import QUERIES
 
 GRADE = "case when toxic = 1 then if(quality = 0, 2, 1) when toxic = 0 then 0 end"
@@ -78,6 +81,39 @@ def test_all_rows_and_columns_of_mild_texts(spark, make, hard):
     assert toxicity.keep_mild(docs, model).count() == 0
 
 
+def test_few_labels_reject_nothing_without_evidence(spark, make):
+    docs, _ = corpus(17)
+    for labels in ([(0, 1, 1, ""), (1, 1, 0, "")], [(0, 1, 0, ""), (1, 1, 0, "")]):
+        model = toxicity.fit(make(docs), spark.createDataFrame(labels, LABELS), F.expr(GRADE))
+        assert toxicity.keep_mild(make(docs), model).count() == 17
+
+
+def test_scores_against_a_plain_loop(spark, make, hard):
+    docs, labels = corpus(200)
+    model = toxicity.fit(make(docs), spark.createDataFrame(labels, LABELS), F.expr(GRADE))
+    assert (model.weights != 0).any()
+    texts = docs[:50] + hard
+    found = {}
+    for r in toxicity.score(make(texts), model).collect():
+        found.setdefault(r.doc_id, []).append(r.expected_severity)
+    wanted = {}
+    for i, text in texts:
+        seen = set()
+        for word in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode()):
+            word = word.lower()
+            spans = [(word, 0)] + [(word[:n], n) for n in toxicity.BEGINNINGS if len(word) > n]
+            for span, plus in spans:
+                data = np.frombuffer(span, np.uint8)
+                number = span_hashes(data, np.array([0]), np.array([len(data)]))[0]
+                seen.add((int(number) + plus) % 2**64 & ((1 << toxicity.BITS) - 1))
+        score = sum(float(model.weights[f]) for f in seen)
+        p = [1 / (1 + math.exp(min(700, t - score))) for t in model.thresholds]
+        wanted.setdefault(i, []).append(sum(p))
+    assert {i: sorted(v) for i, v in found.items()} == {
+        i: pytest.approx(sorted(v), abs=1e-6) for i, v in wanted.items()
+    }
+
+
 def test_likelihood_gradient_by_differences():
     """The fitted thresholds of a model without features are the grades' log odds."""
     grades = np.array([0] * 60 + [1] * 30 + [2] * 10)
