@@ -48,16 +48,17 @@ def op1_voronoi_top_k(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLES["op1_voronoi_top_k"] = """
 with v as (
-    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e
+    select row_number() over () as r, vec_id,
+           list_transform(embedding, lambda x: floor(1024 * x::double)) as e
     from embeddings
-    where embedding is not null
+    where vec_id is not null and embedding is not null
       and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
 ), s as (
-    select q.vec_id as query_id, x.vec_id,
+    select q.r, q.vec_id as query_id, x.vec_id,
            list_inner_product(q.e, x.e)::bigint as score
-    from v q join v x on q.vec_id % 100 = 0 and q.vec_id <> x.vec_id
+    from v q join v x on q.vec_id % 100 = 0 and q.r <> x.r
 ), r as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+    select *, row_number() over (partition by r order by score desc, vec_id) as rank from s
 )
 select query_id, rank::int as rank, vec_id, score from r where rank <= 10
 """

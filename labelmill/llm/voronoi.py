@@ -17,9 +17,11 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelmill.operators.rank import add_places
 from labelmill.sources.staging import Staging
 
 # Pivots at most, and rows of the sample that they come from. The sample decides speed, not results.
@@ -43,7 +45,7 @@ def _dtype(largest: float) -> str:
 
 def _scaled(column: pa.Array, scale: int, dims: int) -> np.ndarray:
     """Rows of ``floor(scale * x)`` as doubles, shorter vectors followed by zeros."""
-    lengths = np.array([len(v) for v in column.to_pylist()], np.int64)
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     out = np.zeros((len(lengths), dims))
     out[np.arange(dims) < lengths[:, None]] = np.floor(scale * values)
@@ -135,6 +137,7 @@ def top_k(
     vector_col: str = "embedding",
     k: int = 10,
     scale: int = 1024,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The k rows of highest ``sum(floor(scale * q) * floor(scale * x))`` for each query row.
 
@@ -143,7 +146,8 @@ def top_k(
 
     * Rows with a null id, a null vector, or a null or non-finite component take no part.
     * Shorter vectors count as followed by zeros; empty ones score 0 with every row.
-    * Of rows that share an id, only the smallest vector (in array order) counts.
+    * Rows that share an id count each by itself: as a query, a row is left out of its own results
+      only, and each query row has results of its own. Ties among them go by the vectors' order.
     * Scores beyond a long's range are saturated. No queries or no candidates: no rows.
     """
     if k < 1:
@@ -167,8 +171,13 @@ def top_k(
     ).first()
     if not n_queries or n < 2:
         return spark.createDataFrame([], RESULT)
+    staging = staging or Staging(spark)
+    names = None
     if ids < n:
-        vectors = vectors.groupBy("id").agg(F.min("v").alias("v"), F.bool_or("q").alias("q"))
+        # Numbers of their own for all rows, in the order of the ids.
+        numbered = add_places(vectors, [F.col("id"), F.col("v")], staging, "rows")
+        names = numbered.select(F.col("place").alias("row"), "id")
+        vectors = numbered.select(F.col("place").alias("id"), "v", "q")
     dtype = _dtype(scale * max(abs(high or 0.0), abs(low or 0.0)) + 1)
 
     rows = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * max(1, dims))))
@@ -193,7 +202,6 @@ def top_k(
                     }
                 )
 
-    staging = Staging(spark)
     cells = staging.table(
         vectors.mapInArrow(assign, "id long, q boolean, point binary, cell int, distance double"),
         "cells",
@@ -378,8 +386,15 @@ def top_k(
         .mapInArrow(solve, "query_id long, vec_id long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
+    ranked = (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int"), "vec_id", "score")
     )
+    if names is None:
+        return ranked
+    asked = names.select(F.col("row").alias("query_id"), F.col("id").alias("asked"))
+    given = names.select(F.col("row").alias("vec_id"), F.col("id").alias("given"))
+    return ranked.join(asked, "query_id").join(given, "vec_id").select(
+        F.col("asked").alias("query_id"), "rank", F.col("given").alias("vec_id"), "score"
+    )

@@ -16,17 +16,18 @@ def by_hand(rows, k=10):
         return v is not None and all(x is not None and np.isfinite(x) for x in v)
 
     rows = [(i, v) for i, v in rows if i is not None and usable(v)]
-    whole = {i: [int(np.floor(1024 * float(np.float32(x)))) for x in v] for i, v in rows}
+    whole = [[int(np.floor(1024 * float(np.float32(x)))) for x in v] for _, v in rows]
     out = {}
-    for q in whole:
+    for at, (q, _) in enumerate(rows):
         if q % 100 == 0:
             scored = [
-                (-sum(a * b for a, b in zip(whole[q], v, strict=False)), i)
-                for i, v in whole.items()
-                if i != q
+                (-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[at], v, strict=False)))), i)
+                for j, ((i, _), v) in enumerate(zip(rows, whole, strict=True))
+                if j != at
             ]
             if scored:
-                out[q] = [(r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
+                best = [(r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
+                out[q] = sorted(out.get(q, []) + best)
     return out
 
 
@@ -71,9 +72,12 @@ def test_large_numbers_are_exact_and_saturate(spark):
 
 
 def test_repeated_ids_and_few_rows(spark):
-    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (5, [2.0, 0.0]), (5, [1.0, 1.0])]
-    # Of the rows of id 5 the smallest vector counts.
-    assert found(frame(spark, rows)) == {0: [(1, 5, 1024 * 1024)]}
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (5, [2.0, 0.0]), (5, [1.0, 1.0]), (100, [1.0, 2.0])]
+    rows += [(100, [0.5, 2.0]), (3, [1.0, 2.0])]
+    # Each row counts, whatever its id; both rows of id 0 have results.
+    one = 1024 * 1024
+    assert found(frame(spark, rows), k=2)[0] == [(1, 5, 2 * one)] * 2 + [(2, 0, one)] * 2
+    assert found(frame(spark, rows)) == by_hand(rows)
     assert found(frame(spark, [])) == {}
     assert found(frame(spark, [(0, [1.0])])) == {}
     with pytest.raises(ValueError):
