@@ -29,10 +29,10 @@ SIGN[39] = False
 # Where joined chunks are not plain: white space that is neither a line end between two chunks nor
 # the blank that opens one.
 ODD = re.compile(r"[^\S\n ]|\s\n|\n\n|(?<!\n) |  | \n| $|\n$|^\n")
-JOINED = 256
+# Chunks encoded together.
+JOINED = 4096
 # How special tokens begin.
 SPECIAL = b"<|"
-JOINED = 4096
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -65,8 +65,9 @@ def _tokenizer(vocabulary: bytes):
     return Tokenizer.from_buffer(vocabulary)
 
 
+@lru_cache(maxsize=1)
 def chunk_encoder(vocabulary: bytes) -> ChunkEncoder:
-    """An encoder of its own for each task, so that its table goes when the task ends."""
+    """One encoder for all tasks of a Python worker, so that a vocabulary's chunks are learnt once."""
     tokenizer = _tokenizer(vocabulary)
 
     def ids_of(texts: list[str]) -> list[list[int]]:
