@@ -205,19 +205,27 @@ def _looked_up(values: DataFrame, total: int, least: Column, staging: Staging, n
 def _solved(
     docs: DataFrame, members: DataFrame, rule: Sketching, words: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """Links ``a, b`` found within each ``grp`` of members (grp, node, comp, key, first_doc)."""
+    """Links ``a, b`` found within each ``grp`` of members (grp, node, comp, key, first_doc).
+
+    They name the components of the sets where these are known, else the sets themselves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, {}
 
         def links() -> pa.RecordBatch:
-            nodes = list(held)
-            # Sets of one component know of each other; others are their own until linked.
-            known = [c if c is not None else -1 - i for i, (c, _) in enumerate(held.values())]
-            found = Sets([s for _, s in held.values()], np.array(known, np.int64), rule).links()
-            pairs = [(nodes[i], nodes[j]) for i, j in found]
-            a, b = zip(*pairs, strict=True) if pairs else ((), ())
-            return pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            # A set stands for itself, or for the component that it is known to be in.
+            names = np.array([node if comp is None else comp for node, (comp, _) in held.items()])
+            solved = Sets([s for _, s in held.values()], names.copy(), rule)
+            for _ in solved.links():
+                pass
+            # All that is joined now, linked with its smallest name.
+            a, b = np.unique(np.stack([names, solved.joined]), axis=1)
+            order = np.lexsort([a, b])
+            a, b = a[order], b[order]
+            first = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
+            least = np.repeat(a[first], np.diff(np.append(first, len(a))))
+            return pa.record_batch({"a": a[a != least], "b": least[a != least]})
 
         for batch in batches:
             for part in slices(batch, "text"):
@@ -303,7 +311,7 @@ def near_duplicates(
     looked_up = staging.table(
         _looked_up(retained, total, rule.sketched(F.col("n")), staging, "retained"), "looked_up"
     )
-    met = looked_up.select("hub", "node", "n").distinct()
+    met = staging.table(looked_up.select("hub", "node", "n").distinct(), "met")
     groups = staging.table(
         met.groupBy("hub").agg(
             F.count("*").alias("n_sets"),
@@ -317,7 +325,7 @@ def near_duplicates(
     n_met = groups.agg(F.coalesce(F.sum("n_sets"), F.lit(0))).first()[0]
     sizes = groups.select("hub", F.col("n_sets").alias("n"))
     placed = salted_join(
-        met.select("hub", "node"), groups.select("hub", "parts"), "hub", "node", sizes, n_met
+        met.select("hub", "node").where("node <> hub"), groups.select("hub", "parts"), "hub", "node", sizes, n_met
     ).select("hub", "node", F.pmod(F.xxhash64("node"), "parts").alias("part"))
     hubs = groups.select(
         "hub", F.col("hub").alias("node"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part")
@@ -325,7 +333,6 @@ def near_duplicates(
     members = staging.table(
         placed.select("hub", "node", F.col("part").cast("int").alias("part"))
         .unionByName(hubs)
-        .distinct()
         .join(names, "node")
         .select(
             F.concat_ws(":", "hub", "part").alias("grp"),
@@ -360,8 +367,16 @@ def near_duplicates(
     opened = staging.table(opened.join(names, "node"), "open")
     if not opened.isEmpty():
         more = _between_parts(docs, opened, rule, words, id_col, text_col, staging)
-        edges = staging.table(edges.unionByName(more), "all_links")
-        roots = staging.table(components(edges, staging, "second"), "last_roots")
+        more = components(staging.table(more, "more_links"), staging, "second")
+        # Components that were joined, and sets that were alone until then.
+        joined = more.select(F.col("node").alias("comp"), F.col("root").alias("last"))
+        every = names.select("node").join(roots, "node", "left")
+        roots = staging.table(
+            every.withColumn("comp", F.coalesce("root", "node"))
+            .join(joined, "comp", "left")
+            .select("node", F.coalesce("last", "comp").alias("root")),
+            "last_roots",
+        )
 
     labels = names.join(roots, "node", "left").select(
         "key", "first_doc", F.coalesce("root", "node").alias("root")
@@ -417,7 +432,7 @@ def _between_parts(
     values = whole.select("node", "n", "comp", F.explode("whole").alias("value"))
     total = whole.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     looked_up = _looked_up(values, total, rule.whole(F.col("n")), staging, "whole", "comp")
-    met = staging.table(looked_up.select("hub", "node", "n", "comp").distinct(), "met")
+    met = staging.table(looked_up.select("hub", "node", "n", "comp").distinct(), "last_met")
 
     # A component with many sets in a group has blocks of its own, the sets of all others are mixed.
     of_comp = met.groupBy("hub", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
