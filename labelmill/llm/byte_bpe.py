@@ -66,8 +66,13 @@ def _tokenizer(vocabulary: bytes):
 
 
 @lru_cache(maxsize=1)
-def chunk_encoder(vocabulary: bytes) -> ChunkEncoder:
+def worker_encoder(vocabulary: bytes) -> ChunkEncoder:
     """One encoder for all tasks of a Python worker, so that a vocabulary's chunks are learnt once."""
+    return chunk_encoder(vocabulary)
+
+
+def chunk_encoder(vocabulary: bytes) -> ChunkEncoder:
+    """An encoder of its own, whose table goes with it."""
     tokenizer = _tokenizer(vocabulary)
 
     def ids_of(texts: list[str]) -> list[list[int]]:
@@ -106,8 +111,9 @@ class Vocabulary:
         with open(path, "rb") as file:
             self._sent = spark.sparkContext.broadcast(file.read())
 
-    def encoder(self) -> ChunkEncoder:
-        return chunk_encoder(self._sent.value)
+    def encoder(self, *, stays: bool = False) -> ChunkEncoder:
+        """One for a task, or one that stays in the worker for the tasks after it, with its memory."""
+        return worker_encoder(self._sent.value) if stays else chunk_encoder(self._sent.value)
 
 
 def with_end(ids: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,8 +1,7 @@
 """Encoding of texts by their chunks: each different chunk of a batch is encoded once.
 
 A chunk is cut where the encoder's own rules keep the two sides apart, so the ids of a text are those
-of its chunks one after another. Chunks seen before stay in a table of bounded size, which a worker
-keeps from task to task.
+of its chunks one after another. Chunks seen before stay in a table of bounded size.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 
-# Chunks that a worker remembers, about 100 MB; a full table starts anew.
+# Chunks that a table remembers, about 100 MB; a full one starts anew.
 REMEMBERED = 400_000
 # Longer chunks are not remembered.
 LONGEST = 64

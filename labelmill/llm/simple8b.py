@@ -166,7 +166,7 @@ def write(
     vocabulary = Vocabulary(docs.sparkSession, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocabulary.encoder()
+        encoder = vocabulary.encoder(stays=True)
         part, first, held, doc_ids, ends, size = None, 0, [], [], [], 0
 
         def row() -> pa.RecordBatch:
