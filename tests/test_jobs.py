@@ -3,10 +3,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from labelmill.functions.text import text_key
 from labelmill.operators.embed import HashedTokenEncoder, embed, embed_cached, read_cache
 from labelmill.operators.skew import salted_join
 from labelmill.plans import jobs
+from labelmill.sources import vectors
+from labelmill.sources.vectors import VectorCache
 
 LABELS = ("a", "b")
 
@@ -172,6 +176,89 @@ def test_cache_encodes_only_what_is_missing(spark, tmp_path):
     assert seen == [20, 0, 13, 33]
 
 
+def cached(spark, path):
+    return {r.text_key: list(r.embedding) for r in read_cache(spark, path, "e").collect()}
+
+
+def texts_of(spark, numbers):
+    return spark.createDataFrame([(f"text {i}",) for i in numbers], "input string")
+
+
+@pytest.mark.parametrize("refresh", [False, True])
+def test_a_write_that_fails_leaves_the_old_vectors(spark, tmp_path, monkeypatch, refresh):
+    class Failing(HashedTokenEncoder):
+        def encode(self, texts):
+            if "text 7" in texts:
+                raise RuntimeError("the encoder is gone")
+            return super().encode(texts)
+
+    path = f"{tmp_path}/cache"
+    embed_cached(texts_of(spark, range(5)), HashedTokenEncoder(8), path, "e").count()
+    before = cached(spark, path)
+    assert len(before) == 5
+    with pytest.raises(Exception, match="the encoder is gone"):
+        embed_cached(texts_of(spark, range(20)), Failing(8), path, "e", batch_size=1, refresh=refresh)
+    assert cached(spark, path) == before
+    # Stopped after the vectors are written, before they are named.
+    with monkeypatch.context() as patch:
+        patch.setattr(VectorCache, "_put", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            embed_cached(texts_of(spark, range(20)), HashedTokenEncoder(8), path, "e", refresh=refresh)
+    assert cached(spark, path) == before
+    VectorCache(spark, path, "e").vacuum()
+    assert cached(spark, path) == before
+    assert embed_cached(texts_of(spark, range(3, 20)), HashedTokenEncoder(8), path, "e").count() == 17
+    assert len(cached(spark, path)) == 20
+
+
+def test_runs_at_the_same_time_and_many_versions(spark, tmp_path):
+    path = f"{tmp_path}/cache"
+    cache = VectorCache(spark, path, "e")
+
+    def version(numbers, buckets):
+        rows = texts_of(spark, numbers).withColumn("text_key", text_key(F.col("input")))
+        return cache.write(embed(rows.repartition(buckets, "text_key"), HashedTokenEncoder(8)), buckets)
+
+    one, two = version(range(10), 8), version(range(5, 15), 16)
+    first = cache.add(one, None, 8)
+    # The second run saw no cache either: texts that the first one has are not there twice.
+    second = cache.add(two, None, 16)
+    assert (first.number, second.number, second.buckets) == (0, 1, 8)
+    assert read_cache(spark, path, "e").count() == 15
+    for i in range(15, 30):
+        embed_cached(texts_of(spark, [i]), HashedTokenEncoder(8), path, "e").count()
+    assert len(cache.commit().versions) <= vectors.MOST_VERSIONS
+    assert read_cache(spark, path, "e").count() == len(cached(spark, path)) == 30
+    assert cache.write(read_cache(spark, path, "e").where("false"), 8) is None
+
+
+def test_the_cache_is_read_without_a_shuffle(spark, tmp_path):
+    path = f"{tmp_path}/cache"
+    for numbers in (range(50), range(40, 90)):
+        found = embed_cached(texts_of(spark, numbers), HashedTokenEncoder(8), path, "e")
+    assert found.count() == 50
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Each version is scanned by bucket; above such a scan there is no exchange up to the join.
+    scans = [i for i, line in enumerate(plan.split("\n")) if "FileScan parquet" in line]
+    lines = plan.split("\n")
+    assert len(scans) == 2
+    for i in scans:
+        assert "Bucketed: true" in lines[i]
+        depth = lines[i].index("FileScan")
+        for line in reversed(lines[:i]):
+            at = len(line) - len(line.lstrip(" :+-"))
+            if at < depth:
+                depth = at
+                assert "Exchange" not in line
+                if "Join" in line:
+                    break
+
+
 def test_embed_is_unit_length(spark):
     df = spark.createDataFrame([(1, "a b  a"), (2, "")], "id long, input string")
     got = {r.id: r.embedding for r in embed(df, HashedTokenEncoder(16)).collect()}
