@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.functions.numbers import l2_normalize
@@ -16,7 +16,14 @@ from labelmill.operators.formats import get_format
 from labelmill.operators.rank import add_ids
 from labelmill.operators.records import prefixed, to_json_lines, to_records
 from labelmill.plans import jobs
-from labelmill.sources.members import Member, load_samples, load_separated, member_counts, separate
+from labelmill.sources.members import (
+    Member,
+    load_folder,
+    load_samples,
+    load_separated,
+    member_counts,
+    separate,
+)
 from labelmill.sources.sinks import export
 from labelmill.sources.staging import Staging, shared_folder
 
@@ -121,6 +128,50 @@ def load_separated_counts(spark, sf):
     )
 
 
+def _per_member(rows: DataFrame) -> DataFrame:
+    """Rows, characters, a sum over hashes, and the first and last number of each member."""
+    text = F.concat_ws("|", F.coalesce("input", F.lit("-")), F.coalesce("output", F.lit("-")))
+    return rows.groupBy("sheet").agg(
+        F.count("*").alias("rows"),
+        F.sum(F.length("input")).alias("chars"),
+        F.sum(_hash(text)).alias("hashes"),
+        F.min("seq").alias("first_seq"),
+        F.max("seq").alias("last_seq"),
+        F.count_distinct("seq").alias("numbers"),
+    )
+
+
+def _hash(text) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+@query
+def load_folder_counts(spark, sf):
+    """All documents written as a folder of members, one for each source, and read as one table."""
+    path = _scratch(spark)
+    docs = _table(spark, sf, "documents").select(
+        F.col("source").alias("sheet"), F.col("text").alias("input"), F.col("lang").alias("output")
+    )
+    docs.write.partitionBy("sheet").parquet(path)
+    return _per_member(load_folder(spark, path))
+
+
+@query
+def load_csv_members(spark, sf):
+    """All conversations as CSV and all documents as JSON lines, read as two members."""
+    path = _scratch(spark)
+    turns = _table(spark, sf, "conversations").repartitionByRange("conv_id", "turn")
+    options = {"header": "true", "multiLine": "true", "escape": "\"", "quoteAll": "true"}
+    turns.select("text", "role").write.options(**options).csv(f"{path}/conversations")
+    docs = _table(spark, sf, "documents").repartitionByRange("doc_id")
+    docs.select("text", F.col("lang").alias("role")).write.json(f"{path}/documents")
+    members = {
+        "conversations": Member(f"{path}/conversations", "csv", options),
+        "documents": Member(f"{path}/documents", "json"),
+    }
+    return _per_member(load_samples(spark, members, "text", "role"))
+
+
 @query
 def member_counts_query(spark, sf):
     counts = member_counts(samples(spark, sf))
@@ -313,33 +364,37 @@ def record_ark(spark, sf):
     )
 
 
-def _read_back(spark: SparkSession, path: str, schema: str, user: str) -> DataFrame:
-    """Records, ids (where the format has them) and characters per written split."""
+def _read_back(spark: SparkSession, path: str, schema: str, texts: list[str]) -> DataFrame:
+    """Records, ids (where the format has them), characters and hashes per written split."""
     ids = (
         F.min("r.id").alias("first_id"),
         F.max("r.id").alias("last_id"),
         F.count_distinct("r.id").alias("ids"),
     )
+    with_id = schema.startswith("id ")
+    record = F.concat_ws("|", *([F.col("r.id").cast("string")] if with_id else []), *map(F.expr, texts))
     return (
         spark.read.text(path)
         .withColumn("r", F.from_json("value", schema))
         .groupBy("split")
         .agg(
             F.count("r").alias("records"),
-            *(ids if schema.startswith("id ") else ()),
-            F.sum(F.length(F.expr(user))).alias("chars"),
+            *(ids if with_id else ()),
+            F.sum(F.length(F.expr(texts[1]))).alias("chars"),
+            F.sum(_hash(record)).alias("hashes"),
         )
     )
 
 
 INTERNAL = "id long, conversations array<struct<role string, context string>>"
+CONTEXTS = [f"r.conversations[{i}].context" for i in range(3)]
 
 
 @query
 def export_counts(spark, sf):
     path = _scratch(spark)
     export(sets(spark, sf), path, "internal", PROMPT)
-    return _read_back(spark, path, INTERNAL, "r.conversations[1].context")
+    return _read_back(spark, path, INTERNAL, CONTEXTS)
 
 
 @query
@@ -355,7 +410,7 @@ def export_array_counts(spark, sf):
         .groupBy("split")
         .agg(
             F.count("*").alias("records"),
-            F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("hashes"),
+            F.sum(_hash(text)).alias("hashes"),
         )
     )
 
@@ -392,6 +447,31 @@ def label_bars(spark, sf):
     return analyze.label_lines(analyze.label_stats(analyze.histogram(docs)))
 
 
+@query
+def label_lines_many(spark, sf):
+    """A label for each document and for each source: more than one task should rank."""
+    docs = _table(spark, sf, "documents")
+    hist = analyze.histogram(
+        docs.select(
+            F.explode(
+                F.array(
+                    F.struct(F.lit("documents").alias("dataset"), F.col("doc_id").cast("string").alias("output")),
+                    F.struct(F.lit("sources").alias("dataset"), F.col("source").alias("output")),
+                )
+            ).alias("of"),
+            F.col("text").alias("input"),
+        ).select("of.*", "input")
+    )
+    return analyze.label_lines(analyze.label_stats(hist), most=0)
+
+
+@query
+def length_stats_empty_set(spark, sf):
+    """Lengths by label as data sets, one of which has no rows."""
+    hist = analyze.histogram(all_clean(spark, sf).withColumn("dataset", F.col("output")))
+    return analyze.length_stats(hist, (*LABELS, "none"))
+
+
 @query
 def report_text(spark, sf):
     return analyze.report_lines(analyze.split_histogram(sets(spark, sf)))
@@ -562,7 +642,7 @@ def embedding_cache_merge(spark, sf):
 @query
 def job_full(spark, sf):
     run = jobs.full_job(samples(spark, sf), _scratch(spark), labels=LABELS, prompt=PROMPT)
-    return _read_back(spark, run.records_path, INTERNAL, "r.conversations[1].context")
+    return _read_back(spark, run.records_path, INTERNAL, CONTEXTS)
 
 
 @query
@@ -571,7 +651,9 @@ def job_split(spark, sf):
         samples(spark, sf), _scratch(spark), labels=LABELS, prompt=PROMPT, fmt="openai"
     )
     schema = "messages array<struct<role string, content string>>"
-    return _read_back(spark, run.records_path, schema, "r.messages[1].content")
+    return _read_back(
+        spark, run.records_path, schema, [f"r.messages[{i}].content" for i in range(3)]
+    )
 
 
 @query
@@ -579,7 +661,7 @@ def job_convert(spark, sf):
     path, _ = jobs.convert_job(
         samples(spark, sf), _scratch(spark), labels=LABELS, prompt=PROMPT, prefix=PREFIX
     )
-    return _read_back(spark, path, INTERNAL, "r.conversations[1].context")
+    return _read_back(spark, path, INTERNAL, CONTEXTS)
 
 
 @query

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelmill.functions.numbers import round_half_even
+from labelmill.operators.rank import add_places
+from labelmill.operators.skew import salted_join
+from labelmill.sources.staging import Staging
 
 WHOLE = "全量数据"  # fixed value: title of the report over the whole data
 DATASETS = (WHOLE, "train", "val", "test")
@@ -21,6 +27,9 @@ LENGTHS = "  ── input 文本长度（字符数）─────────
 MEAN, MAX, MIN = "  平均值   : %.1f", "  最大值   : %d", "  最小值   : %d"
 P50, P90, P99 = "  中位数   : %.1f", "  P90      : %.1f", "  P99      : %.1f"
 
+# So many labels are summed up and ranked by one task for each data set; more are dealt by range.
+LABELS_IN_ONE_TASK = 100_000
+
 
 def _length(df: DataFrame) -> Column:
     """Text length; tables that carry it spare the report the reading of all texts."""
@@ -59,23 +68,30 @@ def split_histogram(split: DataFrame, label_col: str = "output") -> DataFrame:
 
 def label_stats(hist: DataFrame) -> DataFrame:
     """(dataset, label, count, ratio): rows per label, and percent of the data set to 2 digits."""
-    total = F.sum("count").over(W.partitionBy("dataset"))
-    return (
-        hist.groupBy("dataset", "label")
-        .agg(F.sum("rows").alias("count"))
-        .withColumn("ratio", round_half_even(F.col("count") / total * 100, 2))
+    counts = hist.groupBy("dataset", "label").agg(F.sum("rows").alias("count"))
+    # A row for each data set, summed up before the shuffle: no task sees all labels of one.
+    totals = hist.groupBy("dataset").agg(F.sum("rows").alias("total"))
+    return counts.join(totals, "dataset").select(
+        "dataset", "label", "count", round_half_even(F.col("count") / F.col("total") * 100, 2).alias("ratio")
     )
 
 
-def length_stats(hist: DataFrame) -> DataFrame:
+def length_stats(hist: DataFrame, datasets: Sequence[str] = ()) -> DataFrame:
     """(dataset, total, mean, max, min, p50, p90, p99) of the text lengths in code points.
 
+    Of ``datasets``, those without rows have a row as well: total 0, and NULL for the rest.
+
     The percentiles are exact and interpolate linearly; rounding to 6 digits takes off the noise
     of the interpolation. They weigh each length by its rows, so the aggregate's state holds
     distinct lengths, not rows.
     """
     lengths = hist.groupBy("dataset", "length").agg(F.sum("rows").alias("rows"))
-    mean = F.sum(F.col("length") * F.col("rows")) / F.sum("rows")
+    if datasets:
+        none = hist.sparkSession.createDataFrame([(d,) for d in datasets], "dataset string")
+        lengths = lengths.unionByName(
+            none.select("dataset", F.lit(None).cast("long").alias("length"), F.lit(0).cast("long").alias("rows"))
+        )
+    mean = F.sum(F.col("length") * F.col("rows")) / F.nullif(F.sum("rows"), F.lit(0))
     return lengths.groupBy("dataset").agg(
         F.sum("rows").alias("total"),
         (F.rint(mean * 100) / 100).alias("mean"),
@@ -92,16 +108,52 @@ def _one_digit(name: str) -> Column:
     return round_half_even(F.col(name), 1)
 
 
-def label_lines(labels: DataFrame) -> DataFrame:
-    """(dataset, place, line): one line per label, most frequent first, a block per full 5 %."""
-    place = F.row_number().over(W.partitionBy("dataset").orderBy(F.desc("count"), "label"))
+def label_lines(
+    labels: DataFrame, most: int = LABELS_IN_ONE_TASK, staging: Staging | None = None
+) -> DataFrame:
+    """(dataset, place, line): one line per label, most frequent first, a block per full 5 %.
+
+    Up to ``most`` labels a task ranks those of a data set; more are numbered over a range shuffle,
+    with tables in ``staging``: clear it when nothing reads the lines any more.
+    """
+    staging = (staging or Staging(labels.sparkSession)).part()
+    labels = staging.table(labels, "labels")
     bar = F.repeat(F.lit("█"), F.floor(F.col("ratio") / 5).cast("int"))
-    line = F.format_string(LABEL, "label", "count", _one_digit("ratio"), bar)
-    return labels.select("dataset", place.cast("long").alias("place"), line.alias("line"))
+    line = F.format_string(LABEL, "label", "count", _one_digit("ratio"), bar).alias("line")
+    order = [F.desc("count"), F.asc("label")]
+    if labels.count() <= most:
+        place = F.row_number().over(W.partitionBy("dataset").orderBy(*order))
+        return labels.select("dataset", place.cast("long").alias("place"), line)
+    placed = add_places(labels, [F.asc("dataset"), *order], staging, "places")
+    before = staging.table(
+        placed.groupBy("dataset").agg((F.min("place") - 1).alias("before"), F.count("*").alias("n")),
+        "before",
+    )
+    joined = salted_join(
+        placed,
+        before.select("dataset", "before"),
+        "dataset",
+        "place",
+        before.select("dataset", "n"),
+        labels.count(),
+    )
+    return joined.select("dataset", (F.col("place") - F.col("before")).alias("place"), line)
+
 
+def _measure(pattern: str, value: Column | str) -> Column:
+    """A line with a number, or with a dash where there is none."""
+    value = F.col(value) if isinstance(value, str) else value
+    dash = F.lit(re.sub(r"%[.0-9]*[df]", "-", pattern))
+    return F.when(value.isNotNull(), F.format_string(pattern, value)).otherwise(dash)
 
-def report_lines(hist: DataFrame) -> DataFrame:
-    """(dataset, line_no, line): the report of each data set as text."""
+
+def report_lines(
+    hist: DataFrame, datasets: Sequence[str] = (), staging: Staging | None = None
+) -> DataFrame:
+    """(dataset, line_no, line): the report of each data set as text.
+
+    Of ``datasets``, those without rows have a report, too. ``staging`` as for ``label_lines``.
+    """
     head = (
         F.lit(RULE),
         F.format_string(TITLE, "dataset"),
@@ -113,20 +165,21 @@ def report_lines(hist: DataFrame) -> DataFrame:
     tail = (
         F.lit(""),
         F.lit(LENGTHS),
-        F.format_string(MEAN, _one_digit("mean")),
-        F.format_string(MAX, "max"),
-        F.format_string(MIN, "min"),
-        F.format_string(P50, _one_digit("p50")),
-        F.format_string(P90, _one_digit("p90")),
-        F.format_string(P99, _one_digit("p99")),
+        _measure(MEAN, _one_digit("mean")),
+        _measure(MAX, "max"),
+        _measure(MIN, "min"),
+        _measure(P50, _one_digit("p50")),
+        _measure(P90, _one_digit("p90")),
+        _measure(P99, _one_digit("p99")),
         F.lit(RULE),
     )
-    labels = label_lines(label_stats(hist))
+    labels = label_lines(label_stats(hist), staging=staging)
     before = F.lit(len(head))
     per_set = labels.groupBy("dataset").agg(F.count("*").alias("labels"))
     frame = (
-        length_stats(hist)
-        .join(per_set, "dataset")
+        length_stats(hist, datasets)
+        .join(per_set, "dataset", "left")
+        .withColumn("labels", F.coalesce("labels", F.lit(0)))
         .select("dataset", "labels", F.posexplode(F.array(*head, *tail)).alias("i", "line"))
     )
     after = F.when(F.col("i") < before, 1).otherwise(F.col("labels") + 1)

@@ -133,20 +133,26 @@ def turns(user: str, prefix: str = "") -> str:
        'assistant' as assistant_role, output as assistant_text"""
 
 
-def records(rows: str, chars: str = "length(input)", ids: bool = True) -> str:
+def hash_sum(text: str) -> str:
+    return f"sum(('0x' || substr(md5({text}), 1, 8))::bigint)::bigint"
+
+
+def records(rows: str, user: str = "input", ids: bool = True) -> str:
     id_columns = "min(id) as first_id, max(id) as last_id, count(distinct id) as ids,"
+    record = f"'{PROMPT}', {user}, output"
     return f"""
 select split, count(*) as records, {id_columns if ids else ""}
-       sum({chars})::bigint as chars
+       sum(length({user}))::bigint as chars,
+       {hash_sum(f"concat_ws('|', {'id::varchar, ' if ids else ''}{record})")} as hashes
 from (select *, row_number() over (partition by split order by injected, seq) as id
       from {rows}) group by split"""
 
 
 WITH_FULL = """
 with_full as (
-  select split, seq, input, injected from sets
+  select split, seq, input, output, injected from sets
   union all
-  select 'data', seq, input, injected from sets where not (injected and split <> 'train'))"""
+  select 'data', seq, input, output, injected from sets where not (injected and split <> 'train'))"""
 
 
 def cosine(k: int, queries: str, refs: str, threshold: str = "-2") -> str:
@@ -223,6 +229,24 @@ select seq, sheet, md5(input) as input_md5, output as role from members""",
     "load_separated_counts": f"""{with_tables(MEMBERS)}
 select if(sheet = 'new', 'new', 'regular') as part, count(*) as rows, sum(length(input))::bigint as chars
 from members group by 1""",
+    "load_folder_counts": f"""
+select source as sheet, count(*) as rows, sum(length(input))::bigint as chars,
+       {hash_sum("coalesce(input, '-') || '|' || coalesce(lang, '-')")} as hashes,
+       (sum(count(*)) over (order by source) - count(*))::bigint as first_seq,
+       (sum(count(*)) over (order by source) - 1)::bigint as last_seq, count(*) as numbers
+from (select source, trim(text, {WS}) as input, trim(lang, {WS}) as lang from documents)
+group by source""",
+    "load_csv_members": f"""
+with rows as (
+  select 'conversations' as sheet, trim(text, {WS}) as input, trim(role, {WS}) as output
+  from conversations
+  union all
+  select 'documents', trim(text, {WS}), trim(lang, {WS}) from documents)
+select sheet, count(*) as rows, sum(length(input))::bigint as chars,
+       {hash_sum("coalesce(input, '-') || '|' || coalesce(output, '-')")} as hashes,
+       (sum(count(*)) over (order by sheet) - count(*))::bigint as first_seq,
+       (sum(count(*)) over (order by sheet) - 1)::bigint as last_seq, count(*) as numbers
+from rows group by sheet""",
     "member_counts": f"""{with_tables(SAMPLES)}
 select coalesce(sheet, 'all') as sheet, count(*) as rows from samples group by rollup (sheet)""",
     "normalize_text": f"""
@@ -301,6 +325,12 @@ select seq, '{PROMPT}' as instruction, input, output from all_clean""",
     "label_bars": f"""{with_tables(
         "docs as (select lang || '/' || source as output from documents)")}
 {label_line("(select '" + WHOLE + "' as dataset, output from docs)")}""",
+    "label_lines_many": label_line("""(
+  select 'documents' as dataset, doc_id::varchar as output from documents
+  union all select 'sources', source from documents)"""),
+    "length_stats_empty_set": f"""{with_tables(*BASE)}
+{length_stats('all_clean', 'output')}
+union all select 'none', 0, null, null, null, null, null, null""",
     "report_text": f"""{with_tables(*BASE, SETS, NAMED)},
 stats as ({length_stats('named')}),
 lines as (
@@ -384,7 +414,7 @@ select id as doc_id, bucket, weight from weights""",
 kept as (
   select 'data' as split, false as injected, * from complete where output in ('keep', 'drop')
   qualify row_number() over (partition by input order by seq desc) = 1)
-{records('kept', f"length(input) + {len(PREFIX)}")}""",
+{records('kept', f"'{PREFIX}' || input")}""",
     "job_clean": f"""{with_tables(SAMPLES, COMPLETE)}
 select output, md5(input) as input_md5 from complete where output in ('keep', 'drop')
 qualify row_number() over (partition by input order by seq desc) = 1""",

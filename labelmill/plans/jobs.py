@@ -130,7 +130,7 @@ def split_job(
         if report:
             report_path = run_path(output, "analysis_report", stamp, ".txt")
             hist = staging.table(split_histogram(sets), "histogram")
-            write_report(hist, report_path, (WHOLE, *SETS))
+            write_report(hist, report_path, (WHOLE, *SETS), staging)
         return SplitRun(records_path, report_path, sizes, metrics)
 
 

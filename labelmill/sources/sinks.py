@@ -15,6 +15,7 @@ from labelmill.operators.analyze import DATASETS, report_lines
 from labelmill.operators.formats import ARRAY, RecordFormat, get_format
 from labelmill.operators.rank import add_ids
 from labelmill.operators.records import to_json_lines, to_records
+from labelmill.sources.staging import Staging
 
 
 def run_stamp(now: datetime | None = None) -> str:
@@ -140,17 +141,27 @@ def write_table(df: DataFrame, path: str, format: str = "parquet") -> None:
     writer.save(path)
 
 
-def write_report(hist: DataFrame, path: str, datasets: tuple[str, ...] = DATASETS) -> None:
-    """The text reports of ``datasets``, in this order, a blank line between two of them."""
+def write_report(
+    hist: DataFrame,
+    path: str,
+    datasets: tuple[str, ...] = DATASETS,
+    staging: Staging | None = None,
+) -> None:
+    """The text reports of ``datasets``, in this order, a blank line between two of them.
+
+    The part files, in the order of their names, are the report: one file, unless there are very many
+    labels. A data set without rows has a report of dashes.
+    """
+    own = (staging or Staging(hist.sparkSession)).part()
     place = F.array_position(F.array(*map(F.lit, datasets)), F.col("dataset"))
-    lines = report_lines(hist.where(F.col("dataset").isin(*datasets)))
+    lines = report_lines(hist.where(F.col("dataset").isin(*datasets)), datasets, own)
     gap = (F.col("line_no") == 1) & (place > 1)
-    # A report has one line per label plus 15: one small file.
     (
         lines.withColumn("line", F.when(gap, F.concat(F.lit("\n"), "line")).otherwise(F.col("line")))
         .withColumn("place", place)
-        .repartition(1)
+        .repartitionByRange("place", "line_no")
         .sortWithinPartitions("place", "line_no")
         .select("line")
         .write.text(path)
     )
+    own.clear()
