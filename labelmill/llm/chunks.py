@@ -7,11 +7,13 @@ of its chunks one after another. Chunks seen before stay in a table of bounded s
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
 
+from labelmill.llm.batches import flat
+
 # Chunks that a table remembers, about 100 MB; a full one starts anew.
 REMEMBERED = 400_000
 # Longer chunks are not remembered.
@@ -20,6 +22,13 @@ LONGEST = 64
 ENCODE_BYTES = 2 << 20
 
 
+def _values(array: pa.LargeBinaryArray) -> list[bytes]:
+    """``to_pylist`` of an array without nulls, several times as fast for short values."""
+    data, offsets = flat(array)
+    raw, bounds = data.tobytes(), offsets.tolist()
+    return [raw[a:b] for a, b in pairwise(bounds)]
+
+
 class ChunkEncoder:
     """``encode`` maps a list of chunks (UTF-8) to all their ids, and the number of each one's."""
 
@@ -76,7 +85,7 @@ class ChunkEncoder:
         chunks = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        numbers = self._learn(chunks.dictionary.to_pylist())
+        numbers = self._learn(_values(chunks.dictionary))
         begins, sizes = self._ends[numbers], np.diff(self._ends[: self._count + 1])[numbers]
         each = chunks.indices.to_numpy()
         begins, sizes = begins[each], sizes[each]
