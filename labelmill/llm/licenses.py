@@ -8,6 +8,7 @@ reported is the share of the template's words that the text has in order, and wh
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -156,8 +157,8 @@ def band(template: np.ndarray) -> int:
     return min(BAND, max(1, len(template) // 2))
 
 
-def aligned(template: np.ndarray, text: np.ndarray, diagonal: int) -> list[int]:
-    """Text words that match the template's in order, in the best alignment near the diagonal.
+def aligned(template: np.ndarray, text: np.ndarray, diagonal: int) -> list[tuple[int, int]]:
+    """(text word, template word) that match, in order, in the best alignment near the diagonal.
 
     The whole template is aligned with any part of the text: text words before and after are free.
     """
@@ -176,16 +177,21 @@ def aligned(template: np.ndarray, text: np.ndarray, diagonal: int) -> list[int]:
         step = scores[i - 1] + np.where(inside, np.where(equal[i], MATCH, MISMATCH), low)
         skip = np.append(scores[i - 1][1:], low) + GAP  # a template word that the text lacks
         here = np.maximum(np.maximum(step, skip), low)
+        here[at + 1 == 0] = np.maximum(here[at + 1 == 0], GAP * i)  # before the text begins
         here[(at + 1 < 0) | (at + 1 > len(text))] = low
         scores[i] = np.maximum.accumulate(here - ramp) + ramp  # text words in between
     i, j = n, int(scores[n].argmax())
+    # Template words after the text's end count as lacking, too.
+    for last, column in enumerate(len(text) - np.arange(n + 1) - int(offsets[0])):
+        if 0 <= column < width and scores[last, column] + GAP * (n - last) > scores[i, j] + GAP * (n - i):
+            i, j = last, int(column)
     found = []
     while i > 0:
         at = i - 1 + int(offsets[j])
         value = scores[i, j]
         if 0 <= at < len(text) and value == scores[i - 1, j] + (MATCH if equal[i, j] else MISMATCH):
             if equal[i, j]:
-                found.append(at)
+                found.append((at, i - 1))
             i -= 1
         elif j + 1 < width and value == scores[i - 1, j + 1] + GAP:
             i, j = i - 1, j + 1
@@ -196,33 +202,88 @@ def aligned(template: np.ndarray, text: np.ndarray, diagonal: int) -> list[int]:
     return found[::-1]
 
 
+def chained(pairs: set[tuple[int, int]]) -> list[int]:
+    """Text words of a longest series of pairs that ascends in the text and in the template."""
+    ends: list[int] = []
+    last: list[int] = []
+    ordered = sorted(pairs, key=lambda x: (x[0], -x[1]))
+    before: list[int] = []
+    for at, (_, where) in enumerate(ordered):
+        place = bisect_left(ends, where)
+        before.append(last[place - 1] if place else -1)
+        ends[place : place + 1] = [where]
+        last[place : place + 1] = [at]
+    out, at = [], last[-1] if last else -1
+    while at >= 0:
+        out.append(ordered[at][0])
+        at = before[at]
+    return out[::-1]
+
+
 def notices(
     hashes: np.ndarray, places: np.ndarray, numbers: np.ndarray, at: np.ndarray, templates: Templates
 ) -> list[tuple[int, list[int]]]:
-    """Templates and the matched words of one text, best first, without overlaps."""
+    """Templates and the matched words of one text, best first, without overlaps.
+
+    Regions that hold enough of a template by themselves come first. Of what is left, regions of one
+    template that lie within its length of each other are joined one by one, as long as that adds words:
+    those that match in any of them are chained in the order of text and template, which leads over
+    what was inserted or left out.
+    """
     regions: dict[tuple[int, int], list[int]] = defaultdict(list)
     for place, number, where in zip(places.tolist(), numbers.tolist(), at.tolist(), strict=True):
         # Meetings on nearly the same diagonal belong to one occurrence.
         diagonal = place - where
         regions[number, diagonal // band(templates.words[number])].append(diagonal)
-    found = {}
+    found, partial = {}, defaultdict(list)
     for (number, _), diagonals in regions.items():
         template = templates.words[number]
         middle = sorted(diagonals)[len(diagonals) // 2]
         start = max(0, middle - band(template))
         stop = min(len(hashes), middle + len(template) + band(template))
-        matched = [start + m for m in aligned(template, hashes[start:stop], middle - start)]
+        pairs = aligned(template, hashes[start:stop], middle - start)
+        matched = [start + m for m, _ in pairs]
         if matched and len(matched) >= COVERAGE * len(template):
             found[number, matched[0], matched[-1]] = matched
-    ranked = sorted(
-        found.items(), key=lambda x: (-len(x[1]), -len(x[1]) / len(templates.words[x[0][0]]), x[0])
-    )
+        elif matched:
+            partial[number].append([(start + m, w) for m, w in pairs])
+    out: list[tuple[int, list[int]]] = []
     taken: list[tuple[int, int]] = []
-    out = []
-    for (number, first, last), matched in ranked:
-        if all(last < a or first > b for a, b in taken):
-            taken.append((first, last))
-            out.append((number, matched))
+
+    def take(candidates: dict[tuple[int, int, int], list[int]]) -> None:
+        ranked = sorted(
+            candidates.items(),
+            key=lambda x: (-len(x[1]), -len(x[1]) / len(templates.words[x[0][0]]), x[0]),
+        )
+        for (number, first, last), matched in ranked:
+            if all(last < a or first > b for a, b in taken):
+                taken.append((first, last))
+                out.append((number, matched))
+
+    take(found)
+    joint = {}
+    for number, parts in partial.items():
+        length = len(templates.words[number])
+        # Words of notices that are reported already are not used again.
+        parts = [[x for x in p if all(not a <= x[0] <= b for a, b in taken)] for p in parts]
+        parts = sorted(p for p in parts if p)
+        first = 0
+        while first < len(parts):
+            group, end, best, after = set(), parts[first][0][0], [], first
+            while after < len(parts) and parts[after][0][0] <= end + length:
+                end = max(end, parts[after][-1][0])
+                group |= set(parts[after])
+                matched = chained(group)
+                if len(matched) <= len(best) and len(best) >= COVERAGE * length:
+                    break  # the next piece is of the next notice
+                best = max(best, matched, key=len)
+                after += 1
+            if len(best) >= COVERAGE * length:
+                joint[number, best[0], best[-1]] = best
+                first = after
+            else:
+                first += 1
+    take(joint)
     return out
 
 
@@ -236,8 +297,9 @@ def scan(
     """One row for each notice found: the license, how much of it, and where (code points).
 
     A notice is found if the text has a run of RUN + WINDOW - 1 of its words (all of a shorter one's
-    runs may do) and COVERAGE of them in order. Of overlapping notices the one with most words is
-    reported. A null or empty text has none; null and repeated ids are kept.
+    runs may do) and COVERAGE of them in order, in pieces that have such a run each and are less than
+    the notice's length apart; what stands between them is part of the span. Less than COVERAGE is not
+    reported. Of overlapping notices the one with most words is reported. A null or empty text has none; null and repeated ids are kept.
     """
     known = Templates(TEMPLATES if templates is None else templates)
 
