@@ -34,6 +34,8 @@ GENERALISE = 0.8
 REMOVE = 0.95
 # Pairs of entity and term, or terms, that may be broadcast (16 and 8 bytes each).
 BROADCAST_PAIRS = 1 << 20
+# Pairs of entity and term of one text that are handed on at a time.
+CROSSED = 1 << 18
 # Different terms that a task counts before it hands them on.
 COUNTED_TERMS = 500_000
 
@@ -223,10 +225,13 @@ def _texts(part: pa.RecordBatch, column: str, rows: np.ndarray) -> list[str]:
     return [t or "" for t in part.column(column).take(pa.array(rows)).to_pylist()]
 
 
-def _crossed(keys: set[int], terms: set[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Every key with every term."""
+def _crossed(keys: set[int], terms: set[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every key with every term, at most about CROSSED pairs at a time."""
     key, term = np.array([*keys], np.int64), np.array([*terms], np.int64)
-    return np.repeat(key, len(term)), np.tile(term, len(key))
+    step = max(1, CROSSED // max(1, len(term)))
+    for at in range(0, len(key), step):
+        some = key[at : at + step]
+        yield np.repeat(some, len(term)), np.tile(term, len(some))
 
 
 def _beside(pairs: DataFrame, lookup: DataFrame, key: str, other: str) -> DataFrame:
@@ -255,8 +260,8 @@ def disclosure(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
                     spans = entities(text)
                     if spans:
                         # Term 0 stands for the entity alone.
-                        entity, term = _crossed(entity_keys(text, spans), {0, *terms_of(text)})
-                        yield pa.record_batch({"entity": entity, "term": term})
+                        for entity, term in _crossed(entity_keys(text, spans), {0, *terms_of(text)}):
+                            yield pa.record_batch({"entity": entity, "term": term})
 
     met = (
         rows.mapInArrow(meet, "entity long, term long")
@@ -354,9 +359,9 @@ def _revealed(docs: DataFrame, shares: DataFrame, text_col: str) -> tuple[DataFr
                 for text in _texts(part, "text", _suspects(part, "text")):
                     spans = entities(text)
                     if spans:
-                        entity, term = _crossed(entity_keys(text, spans), terms_of(text))
-                        one = np.full(len(term), _hash(text))
-                        yield pa.record_batch({"entity": entity, "term": term, own: one})
+                        for entity, term in _crossed(entity_keys(text, spans), terms_of(text)):
+                            one = np.full(len(term), _hash(text))
+                            yield pa.record_batch({"entity": entity, "term": term, own: one})
 
     own, found = fresh("_own", docs.columns), fresh("_found", docs.columns)
     by_text = (
