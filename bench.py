@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -41,6 +42,8 @@ def session(cpus: str = os.environ.get("BENCH_CPUS", "8")) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # One process: its temporary folder is shared by all there is.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="labelmill-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
