@@ -27,6 +27,9 @@ LENGTHS = "  ── input 文本长度（字符数）─────────
 MEAN, MAX, MIN = "  平均值   : %.1f", "  最大值   : %d", "  最小值   : %d"
 P50, P90, P99 = "  中位数   : %.1f", "  P90      : %.1f", "  P99      : %.1f"
 
+PERCENTILES = (50, 90, 99)
+# Bits of a length by which rows are counted at a time, and how often: lengths are below 2**32.
+DIGIT, DIGITS = 16, 2
 # So many labels are summed up and ranked by one task for each data set; more are dealt by range.
 LABELS_IN_ONE_TASK = 100_000
 
@@ -81,9 +84,8 @@ def length_stats(hist: DataFrame, datasets: Sequence[str] = ()) -> DataFrame:
 
     Of ``datasets``, those without rows have a row as well: total 0, and NULL for the rest.
 
-    The percentiles are exact and interpolate linearly; rounding to 6 digits takes off the noise
-    of the interpolation. They weigh each length by its rows, so the aggregate's state holds
-    distinct lengths, not rows.
+    The percentiles are exact and interpolate linearly; rounding to 6 digits takes off the noise of the
+    interpolation. They are found by selection (``_at_rank``), so no task holds a data set's lengths.
     """
     lengths = hist.groupBy("dataset", "length").agg(F.sum("rows").alias("rows"))
     if datasets:
@@ -92,16 +94,73 @@ def length_stats(hist: DataFrame, datasets: Sequence[str] = ()) -> DataFrame:
             none.select("dataset", F.lit(None).cast("long").alias("length"), F.lit(0).cast("long").alias("rows"))
         )
     mean = F.sum(F.col("length") * F.col("rows")) / F.nullif(F.sum("rows"), F.lit(0))
-    return lengths.groupBy("dataset").agg(
+    # Summed up before the shuffle: a task hands on one row for each data set.
+    totals = lengths.groupBy("dataset").agg(
         F.sum("rows").alias("total"),
         (F.rint(mean * 100) / 100).alias("mean"),
         F.max("length").alias("max"),
         F.min("length").alias("min"),
+        # Lengths are missing where texts are; they have no rank.
+        F.sum(F.when(F.col("length").isNotNull(), F.col("rows")).otherwise(0)).alias("placed"),
+    )
+    # The place among the rows, in hundredths.
+    place = (F.col("placed") - 1) * F.col("share")
+    wanted = totals.where("placed > 0").select(
+        "dataset",
+        F.explode(F.array(*map(F.lit, PERCENTILES))).alias("share"),
+        "placed",
+    )
+    sides = F.array(
         *(
-            F.round(F.percentile("length", F.lit(p / 100), F.col("rows")), 6).alias(f"p{p}")
-            for p in (50, 90, 99)
-        ),
+            F.struct(F.lit(side).alias("side"), rank.alias("rank"))
+            for side, rank in ((0, F.floor(place / 100)), (1, F.ceil(place / 100)))
+        )
+    )
+    ranks = wanted.select(
+        "dataset", "share", (F.pmod(place, F.lit(100)) / 100).alias("part"), F.inline(sides)
+    )
+    found = _at_rank(lengths.where("rows > 0 and length is not null"), ranks)
+    between = (F.col("high") - F.col("low")) * F.col("part") + F.col("low")
+    points = (
+        found.groupBy("dataset", "share", "part")
+        .agg(
+            F.max(F.when(F.col("side") == 0, F.col("value"))).alias("low"),
+            F.max(F.when(F.col("side") == 1, F.col("value"))).alias("high"),
+        )
+        .groupBy("dataset")
+        .agg(
+            *(
+                F.max(F.when(F.col("share") == p, F.round(between, 6))).alias(f"p{p}")
+                for p in PERCENTILES
+            )
+        )
     )
+    return totals.drop("placed").join(points, "dataset", "left")
+
+
+def _at_rank(lengths: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``ranks`` (dataset, share, side, part, rank from 0) with ``value``, the length of that rank.
+
+    Rows are counted by the highest digits of their length, then within the digit that holds the rank by
+    the next ones, and so on. A step looks at no more than 2**DIGIT counts for each rank.
+    """
+    who = ["dataset", "share", "side", "part"]
+    state = ranks.select(*who, "rank", F.lit(0).cast("long").alias("value"))
+    for shift in (DIGIT * i for i in reversed(range(DIGITS))):
+        cell = F.shiftright("length", shift).alias("cell")
+        cells = (
+            lengths.join(state, "dataset")
+            .where(F.shiftright("length", shift + DIGIT) == F.col("value"))
+            .groupBy(*who, "rank", cell)
+            .agg(F.sum("rows").alias("n"))
+        )
+        until = F.sum("n").over(W.partitionBy(*who).orderBy("cell"))
+        state = (
+            cells.withColumn("until", until)
+            .where("until > rank and until - n <= rank")
+            .select(*who, (F.col("rank") - F.col("until") + F.col("n")).alias("rank"), F.col("cell").alias("value"))
+        )
+    return state.select(*who, "value")
 
 
 def _one_digit(name: str) -> Column:

@@ -25,7 +25,7 @@ from labelmill.defaults import (
 from labelmill.functions.text import text_key
 from labelmill.operators import clean as cleaning
 from labelmill.operators.analyze import WHOLE, split_histogram
-from labelmill.operators.embed import EncoderFactory, embed, embed_cached
+from labelmill.operators.embed import EncoderFactory, embed_cached
 from labelmill.operators.formats import RecordFormat, get_format
 from labelmill.operators.similarity import (
     check_parameters,
@@ -198,11 +198,6 @@ class ConflictRun:
     staging: Staging
 
 
-def _distinct_texts(rows: DataFrame, id_col: str) -> DataFrame:
-    """Each text once, with the ``seq`` of its first row and the number of its rows."""
-    return rows.groupBy("input").agg(F.min("seq").alias(id_col), F.count("*").alias("n"))
-
-
 def conflict_job(
     samples: DataFrame,
     encoder: EncoderFactory,
@@ -220,73 +215,84 @@ def conflict_job(
 ) -> ConflictRun:
     """Flag query rows whose text is close to a reference text under a different label.
 
-    Rows are not cleaned, but missing texts take no part. Each distinct text is encoded and
-    compared once; copies then count as often as they occur: a reference text with n rows fills
-    up to n of a query's k places, and a query text yields its matches for each of its rows.
-    Equally similar texts rank by their first row.
+    Rows are not cleaned, but missing texts take no part. Both sides come from one scan. Each distinct
+    text, on whichever side it is, is encoded once, unless the cache has it, and compared once; copies
+    then count as often as they occur: a reference text with n rows fills up to n of a query's k
+    places, and a query text yields its matches for each of its rows. Equally similar texts rank by
+    their first row.
     """
     if encoder is None:
         raise RuntimeError("the conflict job needs an encoder")
     check_parameters(k, threshold)
     staging = Staging(samples.sparkSession)
     try:
+        # One scan for both sides, in which a row may be on either.
         rows = cleaning.drop_null_rows(cleaning.blank_tokens(samples))
-        query_rows = staging.table(
-            rows.where(F.col("output") == query_label).select("seq", "input"), "query_rows"
+        asks, answers = F.col("output") == query_label, F.col("output") == reference_label
+        labelled = staging.table(
+            rows.where(asks | answers).select(
+                "seq", "input", asks.alias("asks"), answers.alias("answers")
+            ),
+            "labelled",
         )
-        queries = staging.table(_distinct_texts(query_rows, "q_id"), "queries")
-        refs = staging.table(
-            _distinct_texts(rows.where(F.col("output") == reference_label), "r_id"), "refs"
+        # Each text once, whichever sides it is on: the first row and the number of rows of each.
+        texts = staging.table(
+            labelled.groupBy("input").agg(
+                F.min(F.when(F.col("asks"), F.col("seq"))).alias("q_id"),
+                F.count_if("asks").alias("q_rows"),
+                F.min(F.when(F.col("answers"), F.col("seq"))).alias("r_id"),
+                F.count_if("answers").alias("r_rows"),
+            ),
+            "texts",
         )
-        if queries.isEmpty():
+        n_queries, n_rows, n_refs = texts.agg(
+            F.count("q_id"), F.coalesce(F.sum("q_rows"), F.lit(0)), F.count("r_id")
+        ).first()
+        if not n_queries:
             raise ValueError(f"no row is labelled {query_label!r}")
-        if refs.isEmpty():
+        if not n_refs:
             raise ValueError(f"no row is labelled {reference_label!r}")
-
-        ref_vectors = staging.table(
-            embed_cached(
-                refs, encoder, cache, encoder_id, batch_size=batch_size, refresh=refresh_cache
-            ).select("r_id", "embedding"),
-            "ref_vectors",
+        encoded = embed_cached(
+            texts, encoder, cache, encoder_id, batch_size=batch_size, refresh=refresh_cache
         )
-        query_vectors = staging.table(
-            embed(
-                queries.select("q_id", "input"),
-                encoder,
-                batch_size=batch_size,
-                tasks=samples.sparkSession.sparkContext.defaultParallelism,
-            ),
-            "query_vectors",
+        vectors = staging.table(
+            encoded.select("q_id", "r_id", "r_rows", "text_key", "embedding"), "vectors"
         )
-        texts = topk_cosine(query_vectors, ref_vectors, k)
+        queries = vectors.where("q_id is not null").select("q_id", "embedding")
+        refs = vectors.where("r_id is not null").select("r_id", "embedding")
+        matches = staging.table(topk_cosine(queries, refs, k, staging=staging.part()), "matches")
+
         # A copy of a reference text ranks right behind the text's first row.
-        counts = refs.select("r_id", F.least(F.col("n"), F.lit(k)).alias("copies"))
-        matches = staging.table(texts, "matches")
+        most = k * n_queries
+        copies = vectors.where("r_id is not null").select(
+            "r_id", F.least(F.col("r_rows"), F.lit(k)).cast("int").alias("copies")
+        )
         per_ref = matches.groupBy("r_id").agg(F.count("*").alias("n"))
-        n_matches = matches.count()
         order = W.partitionBy("q_id").orderBy(F.desc("similarity"), "r_id", "copy")
         neighbours = staging.table(
-            salted_join(matches, counts, "r_id", "q_id", per_ref, n_matches, rows_per_salt)
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            salted_join(matches, copies, "r_id", "q_id", per_ref, most, rows_per_salt)
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
             .withColumn("rank", F.row_number().over(order).cast("long"))
             .where(F.col("rank") <= k)
             .select("q_id", "r_id", "rank", "similarity"),
             "neighbours",
         )
 
-        hits = staging.table(flag(neighbours, threshold), "hits")
+        # Texts are looked up for what is flagged, and then put back for each row of a query text.
+        hits = flag(neighbours, threshold)
         hits_per_ref = hits.groupBy("r_id").agg(F.count("*").alias("n"))
-        n_hits = hits.count()
-        ref_texts = refs.select("r_id", F.col("input").alias("similar_text"))
-        found = salted_join(hits, ref_texts, "r_id", "q_id", hits_per_ref, n_hits, rows_per_salt)
-        by_text = found.join(queries.select("q_id", "input", "n"), "q_id").select(
+        ref_texts = texts.where("r_id is not null").select("r_id", F.col("input").alias("similar_text"))
+        found = salted_join(hits, ref_texts, "r_id", "q_id", hits_per_ref, most, rows_per_salt)
+        own_texts = texts.where("q_id is not null").select("q_id", "input", "q_rows")
+        by_text = found.join(own_texts, "q_id").select(
             text_key(F.col("input")).alias("key"), "similarity", "similar_text", "rank"
         )
-        keyed_rows = query_rows.withColumn("key", text_key(F.col("input")))
-        per_text = queries.select(text_key(F.col("input")).alias("key"), "n")
-        n_rows = query_rows.count()
+        query_rows = labelled.where("asks").select("seq", "input", text_key(F.col("input")).alias("key"))
+        per_text = own_texts.select(
+            text_key(F.col("input")).alias("key"), F.col("q_rows").alias("n")
+        )
         flagged = staging.table(
-            salted_join(keyed_rows, by_text, "key", "seq", per_text, n_rows, rows_per_salt).select(
+            salted_join(query_rows, by_text, "key", "seq", per_text, n_rows, rows_per_salt).select(
                 "seq", "input", reported().alias("similarity"), "similar_text", "rank"
             ),
             "flagged",

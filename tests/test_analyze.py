@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from labelmill.functions.numbers import l2_normalize, round_half_even
@@ -34,6 +35,38 @@ def test_empty(spark):
     assert analyze.length_stats(hist).count() == analyze.label_stats(hist).count() == 0
 
 
+def test_empty_sets_have_a_row_and_a_report(spark):
+    hist = analyze.histogram(rows(spark, (3, "a"), (5, "a")))
+    got = {r.dataset: r[1:] for r in analyze.length_stats(hist, ("全量数据", "val")).collect()}
+    assert got == {"全量数据": (2, 4.0, 5, 3, 4.0, 4.8, 4.98), "val": (0, *[None] * 6)}
+    lines = analyze.report_lines(hist, ("val",)).where("dataset = 'val'").orderBy("line_no").collect()
+    text = [r.line for r in lines]
+    assert [r.line_no for r in lines] == list(range(1, 16))
+    assert "  总条数：0" in text and "  平均值   : -" in text and "  P99      : -" in text
+
+
+def test_percentiles_of_many_lengths(spark):
+    rng = np.random.default_rng(1)
+    lengths = np.concatenate([rng.integers(0, 50, 400), rng.integers(0, 2**31, 300), [70_000] * 99])
+    df = spark.createDataFrame([("x", int(n), "ab"[i % 2]) for i, n in enumerate(lengths)], "input string, length long, output string")
+    hist = analyze.histogram(df.withColumn("dataset", F.col("output")))
+    for r in analyze.length_stats(hist).collect():
+        own = lengths[r.dataset == "b" :: 2]
+        assert (r.total, r.min, r.max) == (len(own), own.min(), own.max())
+        assert (r.p50, r.p90, r.p99) == tuple(round(x, 6) for x in np.percentile(own, [50, 90, 99]))
+
+
+def test_label_lines_over_a_range_shuffle(spark):
+    pairs = [(1, f"l{i % 40:02d}") for i in range(300)] + [(1, "top")] * 20
+    df = rows(spark, *pairs).withColumn("dataset", F.expr("if(output > 'l20', 'x', 'y')"))
+    labels = analyze.label_stats(analyze.histogram(df))
+    one, many = (
+        sorted(map(tuple, analyze.label_lines(labels, most=most).collect())) for most in (10**6, 0)
+    )
+    assert one == many and len(one) == 41
+    assert [p for d, p, _ in one if d == "y"] == list(range(1, 22))
+
+
 def test_split_histogram_counts_injected_rows_once_in_the_whole(spark):
     df = spark.createDataFrame(
         [("aa", "x", "train", False), ("b", "x", "test", False), ("ccc", "y", "train", True), ("ccc", "y", "val", True)],
