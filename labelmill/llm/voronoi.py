@@ -31,6 +31,8 @@ SAMPLE_BYTES = 32 << 20
 # Queries that a task holds at a time; rows that stream past them in one slice.
 GROUP_QUERIES = 4096
 SLICE_ROWS = 65536
+# Rows that make a slice of their own worth while.
+LEAST_ROWS = 1024
 # A table of distance bounds up to this size is broadcast.
 BOUNDS_BYTES = 32 << 20
 LARGEST = 2**63 - 1
@@ -244,9 +246,11 @@ def top_k(
         least += s.least
     least_cells, least = np.array(least_cells), np.array(least)
     groups, n_groups = _query_groups(pivots, {s.cell: s.queries for s in summary})
-    slices = max(
-        ceil(n / SLICE_ROWS), ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / n_groups)
-    )
+    # Slices that a group has at least, so that there is work for all partitions.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least_slices = ceil(partitions / n_groups)
+    # More than any group has.
+    most_slices = ceil(n / SLICE_ROWS) + least_slices
     first = np.array([groups[c][0] for c in range(len(pivots))])
     parts = np.array([groups[c][1] for c in range(len(pivots))])
 
@@ -293,12 +297,29 @@ def top_k(
         .groupBy("grp", "cell")
         .agg(F.min("need").alias("need"))
     )
+    needed = staging.table(needed, "needed")
     if n_groups * len(pivots) * 16 <= BOUNDS_BYTES:
         needed = F.broadcast(needed)
-    slice_no = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("slice")
-    sent = cells.join(needed, "cell").where("distance >= need").select(
-        "grp", slice_no, F.lit(1).alias("role"), "id", "point"
+    wanted = cells.join(needed, "cell").where("distance >= need").select("grp", "id", "point")
+    # A group is cut by the rows that are sent to it; queries go to its slices and to no others.
+    cut = staging.table(
+        wanted.groupBy("grp")
+        .agg(F.count("*").alias("rows"))
+        .select(
+            "grp",
+            F.greatest(
+                F.ceil(F.col("rows") / SLICE_ROWS),
+                F.least(F.lit(least_slices), F.ceil(F.col("rows") / LEAST_ROWS)),
+            )
+            .cast("int")
+            .alias("slices"),
+        ),
+        "slices",
     )
+    if n_groups * 16 <= BOUNDS_BYTES:
+        cut = F.broadcast(cut)
+    slice_no = F.pmod(F.xxhash64("id"), "slices").cast("int").alias("slice")
+    sent = wanted.join(cut, "grp").select("grp", slice_no, F.lit(1).alias("role"), "id", "point")
 
     def with_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,9 +336,10 @@ def top_k(
         cells.where("q")
         .select("id", "cell", "point")
         .mapInArrow(with_group, "grp int, id long, point binary")
+        .join(cut, "grp")
         .select(
             "grp",
-            F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
+            F.explode(F.expr("sequence(0, slices - 1)")).alias("slice"),
             F.lit(0).alias("role"),
             "id",
             "point",
@@ -340,7 +362,7 @@ def top_k(
                 )
 
         for batch in batches:
-            keys = batch.column("grp").to_numpy().astype(np.int64) * slices
+            keys = batch.column("grp").to_numpy().astype(np.int64) * most_slices
             keys += batch.column("slice").to_numpy()
             keys = keys * 2 + batch.column("role").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
