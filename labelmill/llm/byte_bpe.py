@@ -29,8 +29,8 @@ SIGN[39] = False
 # Where joined chunks are not plain: white space that is neither a line end between two chunks nor
 # the blank that opens one.
 ODD = re.compile(r"[^\S\n ]|\s\n|\n\n|(?<!\n) |  | \n| $|\n$|^\n")
-# Chunks encoded together.
-JOINED = 4096
+# Chunks encoded together: few, so that one that is not plain holds few others up.
+JOINED = 64
 # How special tokens begin.
 SPECIAL = b"<|"
 

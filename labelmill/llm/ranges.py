@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 # More ranges than partitions, so that a hash of the range's number deals them evenly.
 RANGES_PER_PARTITION = 4
+# Bytes of input files for one range, and ranges at most: their bounds pass the driver.
+RANGE_BYTES = 32 << 20
+MOST_RANGES = 20_000
 
 
 def in_id_ranges(
@@ -26,9 +29,11 @@ def in_id_ranges(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    parts = RANGES_PER_PARTITION * int(
-        docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    )
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The planner's size of the input: that of its files, where nothing else is known.
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0  # more stands for a size that the planner does not know
+    parts = max(RANGES_PER_PARTITION * partitions, min(MOST_RANGES, -(-known // RANGE_BYTES)))
     shares = [i / parts for i in range(1, parts)]
     cuts = rows.select("ord").approxQuantile("ord", shares, 1 / (4 * parts))
     bounds = np.unique(np.array([int(c) for c in cuts], np.int64))
