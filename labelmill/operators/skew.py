@@ -27,6 +27,8 @@ def salted_join(
     which bounds the broadcast. Only the lookup rows of hot keys are repeated.
     """
     per_salt = max(rows_per_salt, total // MAX_HOT_KEYS, 1)
+    if total <= per_salt:
+        return rows.join(lookup, key)  # too few rows for any key to be hot
     hot = F.broadcast(
         counts.where(F.col("n") > per_salt).select(
             key, F.ceil(F.col("n") / F.lit(per_salt)).cast("int").alias("_salts")
