@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -37,6 +38,18 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give free memory back, which a worker would keep from stage to stage otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``limit`` bytes of text, at least one row each."""
     if batch.num_rows == 0:
@@ -49,6 +62,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start, stop - start)
         before = int(ends[stop - 1])
         start = stop
+    release()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.batches import BASE, U64, SpanHashes, flat, mix, slices
+from labelmill.llm.batches import BASE, U64, SpanHashes, flat, mix, release, slices
 from labelmill.llm.lookup import fresh, only, with_row
 from labelmill.sources.staging import Staging
 
@@ -319,6 +319,7 @@ def _indexed(cut: DataFrame, buckets: int, length: int) -> DataFrame:
                 held.append(tuple(rest))
         if held:
             yield matched(held)
+        release()
 
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets)).cast("int")
     return (
