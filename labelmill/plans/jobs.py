@@ -83,12 +83,19 @@ def _cleaned(
     )
     counted = cleaning.validation_metrics(tagged, labels, by=["is_new"], cleaned=rows).collect()
     metrics = {"new" if m.is_new else "regular": m for m in counted}
+    return rows, _valid(metrics, samples, labels)
+
+
+def _valid(
+    metrics: dict[str, Row], samples: DataFrame, labels: Sequence[str]
+) -> dict[str, Row]:
+    """The counters, unless no regular row is left."""
     if "regular" not in metrics or not metrics["regular"].is_valid:
         raise EmptyResult(
             metrics.get("regular")
             or cleaning.validation_metrics(samples.where(F.lit(False)), labels).first()
         )
-    return rows, metrics
+    return metrics
 
 
 def split_job(
@@ -147,11 +154,14 @@ def clean_job(
     stamp: str | None = None,
 ) -> tuple[str, Row]:
     """Write the cleaned (input, output) table of all members; (path, counters)."""
-    with Staging(samples.sparkSession) as staging:
-        rows, metrics = _cleaned(staging, samples, labels, F.lit(False))
-        path = run_path(output, "cleaned", stamp or run_stamp())
-        write_table(rows.select("input", "output"), path, format)
-        return path, metrics["regular"]
+    tagged = samples.withColumn("is_new", F.lit(False))
+    # Counted by text digests, so that the rows are written only once, as the result.
+    counted = cleaning.validation_metrics(tagged, labels, by=["is_new"]).collect()
+    metrics = _valid({"regular": m for m in counted}, samples, labels)
+    path = run_path(output, "cleaned", stamp or run_stamp())
+    cleaned = cleaning.clean(tagged, labels, within=["is_new"])
+    write_table(cleaned.select("input", "output"), path, format)
+    return path, metrics["regular"]
 
 
 def convert_job(
@@ -168,7 +178,8 @@ def convert_job(
     fmt = get_format(fmt)
     with Staging(samples.sparkSession) as staging:
         if skip_validation:
-            rows = staging.table(samples, "samples")
+            # Ids are given in several reads; without them the source is read as it is.
+            rows = staging.table(samples, "samples") if fmt.with_id else samples
         else:
             rows, _ = _cleaned(staging, samples, labels, F.lit(False))
             rows = rows.drop("is_new")
