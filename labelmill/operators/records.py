@@ -6,16 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.defaults import FORMAT, SYSTEM_PROMPT
-from labelmill.operators.formats import FLAT, RecordFormat, get_format
-
-
-def _constant(value: object) -> Column:
-    """A literal for any JSON-like value."""
-    if isinstance(value, dict):
-        return F.struct(*(_constant(v).alias(k) for k, v in value.items()))
-    if isinstance(value, (list, tuple)):
-        return F.array(*map(_constant, value))
-    return F.lit(value) if value is not None else F.lit(None).cast("string")
+from labelmill.operators.formats import RecordFormat, get_format
 
 
 def prefixed(col: Column, prefix: str = "") -> Column:
@@ -27,22 +18,12 @@ def record_column(fmt: RecordFormat, prompt: str = SYSTEM_PROMPT, prefix: str =
 
     Missing texts read ``nan``: uncleaned rows keep all keys of their record.
     """
-    said = {
-        "system": F.lit(prompt),
-        "user": prefixed(F.coalesce("input", F.lit("nan")), prefix),
-        "assistant": F.coalesce("output", F.lit("nan")),
-    }
-    if fmt.style == FLAT:
-        fields = {fmt.rename(who): text for who, text in said.items()}
-        fields.update({k: _constant(v) for k, v in fmt.extras.items()})
-        return F.struct(*(col.alias(key) for key, col in fields.items()))
-    turns = F.array(
-        *(
-            F.struct(F.lit(fmt.rename(who)).alias("role"), text.alias(fmt.text_key))
-            for who, text in said.items()
-        )
-    ).alias(fmt.turns_key)
-    return F.struct(F.col("id"), turns) if fmt.with_id else F.struct(turns)
+    said = (
+        F.lit(prompt),
+        prefixed(F.coalesce("input", F.lit("nan")), prefix),
+        F.coalesce("output", F.lit("nan")),
+    )
+    return F.struct(*([F.col("id")] if fmt.with_id else []), *fmt.build(*said))
 
 
 def to_records(

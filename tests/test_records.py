@@ -2,8 +2,7 @@ import json
 
 import pytest
 
-from labelmill.operators import formats
-from labelmill.operators.formats import RecordFormat, get_format, list_formats, register
+from labelmill.operators.formats import FORMATS, RecordFormat, chat, flat, get_format
 from labelmill.operators.rank import add_ids
 from labelmill.operators.records import to_json_lines, to_records
 from labelmill.sources import sinks
@@ -41,23 +40,20 @@ def test_awkward_characters(spark):
     assert record(spark, "ark", text=text)["input"] == text
 
 
-def test_registry(monkeypatch):
-    monkeypatch.setattr(formats, "_formats", dict(formats._formats))
-    assert list_formats() == ["openai", "internal", "ark"]
-    mine = register(RecordFormat("mine", text_key="value"))
+def test_registry(spark, monkeypatch):
+    assert list(FORMATS) == ["openai", "internal", "ark"]
+    mine = RecordFormat(chat("turns", "value", ("s", "u", "a")))
+    monkeypatch.setitem(FORMATS, "mine", mine)
     assert get_format("mine") is mine is get_format(mine)
+    said = [("s", PROMPT), ("u", TEXT), ("a", LABEL)]
+    assert record(spark, "mine") == {"turns": [{"role": r, "value": t} for r, t in said]}
     with pytest.raises(ValueError, match="openai, internal, ark, mine"):
         get_format("other")
 
 
-def test_extras_win_and_keep_their_place(spark):
-    fmt = RecordFormat(
-        "x",
-        style="flat",
-        names={"system": "s"},
-        extras={"user": "fixed", "tags": ["a", "b"], "meta": {"n": 1, "none": None}},
-    )
-    got = record(spark, fmt)
+def test_constants_win_and_keep_their_place(spark):
+    constants = {"user": "fixed", "tags": ["a", "b"], "meta": {"n": 1, "none": None}}
+    got = record(spark, RecordFormat(flat(("s", "user", "assistant"), constants)))
     assert list(got) == ["s", "user", "assistant", "tags", "meta"]
     assert got["user"] == "fixed" and got["meta"] == {"n": 1, "none": None}
 
