@@ -19,10 +19,18 @@ WORDS, NUM, DEN = 5, 80, 100
 # Bytes of a repeated passage: under that of fifty short words.
 PASSAGE_BYTES = 240
 END_ID = 50256
+# Bytes of rows that go to a Python worker at a time. A batch is held by the executor and by the
+# worker, and workers stay from stage to stage, so this bounds what all stages add up to.
+BATCH_BYTES = "4m"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def mild(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity stays below the limit, by the label table's grades."""
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels, toxicity.severity(F.col("quality"), F.col("toxic")))
     return toxicity.keep_mild(docs, model)
@@ -30,21 +38,25 @@ def mild(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each component of near duplicates."""
+    _small_batches(spark)
     return jaccard.one_of_each(docs, words=WORDS, num=NUM, den=DEN)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that stand elsewhere too."""
+    _small_batches(spark)
     return repeats.without_repeats(docs, length=PASSAGE_BYTES, length_col="n_chars")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data named by its kind and what reveals it generalised."""
+    _small_batches(spark)
     return pii.sanitised(docs, length_col="n_chars")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 ids."""
+    _small_batches(spark)
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=END_ID)
 
 
