@@ -10,7 +10,7 @@ from itertools import chain
 import numpy as np
 from pyspark.sql import SparkSession
 
-from labelmill.llm.chunks import ChunkEncoder
+from labelmill.llm.chunks import REMEMBERED_BY_WORKER, ChunkEncoder
 
 # Bytes that surely do not begin white space: printable ASCII and the lead bytes of such characters
 # as have no white space among them.
@@ -68,10 +68,10 @@ def _tokenizer(vocabulary: bytes):
 @lru_cache(maxsize=1)
 def worker_encoder(vocabulary: bytes) -> ChunkEncoder:
     """One encoder for all tasks of a Python worker, so that a vocabulary's chunks are learnt once."""
-    return chunk_encoder(vocabulary)
+    return chunk_encoder(vocabulary, REMEMBERED_BY_WORKER)
 
 
-def chunk_encoder(vocabulary: bytes) -> ChunkEncoder:
+def chunk_encoder(vocabulary: bytes, remembered: int | None = None) -> ChunkEncoder:
     """An encoder of its own, whose table goes with it."""
     tokenizer = _tokenizer(vocabulary)
 
@@ -101,7 +101,7 @@ def chunk_encoder(vocabulary: bytes) -> ChunkEncoder:
         parts = [group(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)]
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
-    return ChunkEncoder(cuts, encode)
+    return ChunkEncoder(cuts, encode, remembered)
 
 
 class Vocabulary:

@@ -14,12 +14,14 @@ import pyarrow as pa
 
 from labelmill.llm.batches import flat
 
-# Chunks that a table remembers, about 100 MB; a full one starts anew.
+# Chunks that a table remembers, about 100 MB; a full one starts anew. One that stays in a worker for a
+# whole job may be larger.
 REMEMBERED = 400_000
+REMEMBERED_BY_WORKER = 1_000_000
 # Longer chunks are not remembered.
 LONGEST = 64
 # Bytes of text to encode at a time: the more, the fewer chunks are looked up again.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 4 << 20
 
 
 def _values(array: pa.LargeBinaryArray) -> list[bytes]:
@@ -36,9 +38,11 @@ class ChunkEncoder:
         self,
         cuts: Callable[[np.ndarray, np.ndarray], np.ndarray],
         encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+        remembered: int | None = None,
     ) -> None:
         """``cuts`` marks the places in the bytes of texts at which a chunk starts."""
         self._cuts, self._encode = cuts, encode
+        self._most = remembered or REMEMBERED
         self._forget()
 
     def _forget(self) -> None:
@@ -74,7 +78,7 @@ class ChunkEncoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and the row offsets in them."""
-        if self._count > REMEMBERED:
+        if self._count > self._most:
             self._forget()
         if len(data) == 0:
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
