@@ -185,7 +185,7 @@ def write(
             )
 
         for batch in batches:
-            for piece in slices(batch, "text", ENCODE_BYTES):
+            for piece in slices(batch, "text", 2 * ENCODE_BYTES):
                 ids, rows = with_end(*encoder.encode(*flat(piece.column("text"))), end_id)
                 parts = piece.column("part").to_numpy()
                 names = piece.column("doc_id").to_pylist()
