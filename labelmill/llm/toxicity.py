@@ -251,6 +251,12 @@ def score(
     return rows.mapInArrow(run, RESULT)
 
 
+def limit_for(model: OrdinalModel, limit: float = REJECT) -> float:
+    """The expected severity to reject from: ``limit`` beyond what a text without features has."""
+    unknown = float(_sigmoid(-model.thresholds).sum())
+    return limit + unknown * (1 - limit / (GRADES - 1))
+
+
 def keep_mild(
     docs: DataFrame, model: OrdinalModel, *, text_col: str = "text", limit: float = REJECT
 ) -> DataFrame:
@@ -261,9 +267,7 @@ def keep_mild(
     rows go by what they say and not by the labels' shares.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    most = GRADES - 1
-    unknown = float(_sigmoid(-model.thresholds).sum())
-    limit = limit + unknown * (1 - limit / most)
+    limit = limit_for(model, limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
