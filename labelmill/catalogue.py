@@ -547,7 +547,7 @@ def near_documents(spark, sf):
     vectors = Staging(spark).table(embed(docs, HashedTokenEncoder(DIM), "text"), "vectors")
     return _rounded(
         similarity.topk_cosine(
-            vectors, vectors, 3, 0.99, "doc_id", "doc_id", broadcast_bytes=0, block_bytes=64 << 10
+            vectors, vectors, 3, 0.99, "doc_id", "doc_id", broadcast_bytes=0, block_bytes=512 << 10
         )
     )
 
