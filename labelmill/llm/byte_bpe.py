@@ -26,9 +26,14 @@ LETTER[65:91] = LETTER[97:123] = True
 SIGN = np.zeros(256, bool)
 SIGN[33:48] = SIGN[58:65] = SIGN[91:97] = SIGN[123:127] = True
 SIGN[39] = False
+# All that a byte is, in bits: looked up once.
+IS_LETTER, IS_SIGN, IS_SPACE, IS_SOLID = 1, 2, 16, 32
+KINDS = (
+    LETTER * IS_LETTER + SIGN * IS_SIGN + SPACE * IS_SPACE + SOLID * IS_SOLID
+).astype(np.uint8).tobytes()
 # Where joined chunks are not plain: white space that is neither a line end between two chunks nor
 # the blank that opens one.
-ODD = re.compile(r"[^\S\n ]|\s\n|\n\n|(?<!\n) |  | \n| $|\n$|^\n")
+ODD = re.compile(r"[^\S\n ]|\s\n|\n\n|(?<=[^\n]) |  | \n| $|\n$|^\n")
 # Chunks encoded together: few, so that one that is not plain holds few others up.
 JOINED = 64
 # How special tokens begin.
@@ -41,19 +46,22 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     The last of several white space characters is always apart from those before; a blank goes
     with the word that follows, any other is a piece of its own. Letters and signs are apart.
     """
+    text = data.tobytes()
+    kinds = np.frombuffer(text.translate(KINDS), np.uint8)
+    before, after = kinds[:-1], kinds[1:]
     last = np.zeros(len(data), bool)
-    last[:-1] = SPACE[data[:-1]] & SOLID[data[1:]]
+    last[:-1] = (before & IS_SPACE != 0) & (after & IS_SOLID != 0)
     last[offsets[1:][offsets[1:] > 0] - 1] = False
-    special = SPECIAL in data.tobytes()
+    special = SPECIAL in text
     if special:  # a special token ends the text before it, so white space there stays together
         last[:-1] &= data[1:] != SPECIAL[0]
     starts = last.copy()
     starts[1:] |= last[:-1] & (data[:-1] != 32)
     if special:
         return starts
-    letter, sign = LETTER[data], SIGN[data]
-    starts[1:] |= letter[:-1] & sign[1:]
-    starts[1:] |= sign[:-1] & letter[1:]
+    # Of two neighbours one is a letter, the other a sign.
+    either = IS_LETTER | IS_SIGN
+    starts[1:] |= (before ^ after) & either == either
     return starts
 
 

@@ -43,8 +43,15 @@ def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
     if values.max(initial=0) >> U64(52):
         high = _bits(values >> U64(32))
-        return np.where(high > 0, high + 32, _bits(values & U64(0xFFFFFFFF))).astype(np.int16)
-    return np.frexp(values.astype(np.float64))[1].astype(np.int16)
+        return np.where(high > 0, high + 32, _bits(values & U64(0xFFFFFFFF))).astype(np.int8)
+    return np.frexp(values.astype(np.float64))[1].astype(np.int8)
+
+
+def _wider(span: np.ndarray, shift: int) -> np.ndarray:
+    """The larger one of each place and the place ``shift`` after it, if its block has that."""
+    out = span.copy()
+    np.maximum(span[:, :-shift], span[:, shift:], out=out[:, :-shift])
+    return out
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,26 +64,23 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded = np.zeros(blocks * BLOCK, np.uint64)
     padded[:n] = values
     need = _bits(padded).reshape(blocks, BLOCK)
-    # For each place the selector with most values whose largest fits; 0 if not even one does.
-    selector = np.zeros((blocks, BLOCK), np.int8)
-    span = {1: need}
-    width = 1
-    while 2 * width <= max(COUNTS):
-        wide = span[width].copy()
-        wide[:, : BLOCK - width] = np.maximum(wide[:, : BLOCK - width], span[width][:, width:])
-        span[2 * width] = wide
-        width *= 2
+    # For each place the selector with most values whose largest fits; 0 if not even one does. What
+    # fits does so with fewer values of more bits too, so the selectors that fit are counted.
+    fitting = np.zeros((blocks, BLOCK), np.int8)
+    span, width = need, 1
     for s in range(len(COUNTS), 0, -1):
         count = COUNTS[s - 1]
         size = 0 if s == 1 else 60 // count
-        power = 1 << (count.bit_length() - 1)
-        top = span[power]
-        if count > power:
-            top = top.copy()
-            shift = count - power
-            top[:, : BLOCK - shift] = np.maximum(top[:, : BLOCK - shift], span[power][:, shift:])
-        # Beyond a block's end there are no values: a word there holds what is left.
-        selector[top <= size] = s
+        # Largest of ``count`` values; beyond a block's end there are none: a word there holds
+        # what is left.
+        while 2 * width <= count:
+            span = _wider(span, width)
+            width *= 2
+        fits = (_wider(span, count - width) if count > width else span) <= size
+        if not fits.any():
+            break
+        fitting += fits
+    selector = (len(COUNTS) + 1 - fitting) % (len(COUNTS) + 1)
     counts = np.array([1, *COUNTS])
     follow = np.arange(BLOCK) + counts[selector]
     # All blocks go ahead word by word.

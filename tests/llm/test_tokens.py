@@ -53,6 +53,31 @@ def test_byte_bpe_equals_the_library(monkeypatch):
             assert ids[rows[i] : rows[i + 1]].tolist() == expected
 
 
+def test_chunks_that_begin_with_a_blank_are_encoded_together(monkeypatch):
+    with open(path("byte_bpe_50k.json"), "rb") as file:
+        vocabulary = file.read()
+    library = byte_bpe._tokenizer(vocabulary)
+    given = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.append(len(texts))
+            return library.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(byte_bpe, "_tokenizer", lambda _: Counted())
+    rng = random.Random(7)
+    scraps = ["a", "the", "ing", "é", "日", "ß", "tion", "12", "'s", "'ll", "(", ",", "_"]
+    words = ["".join(rng.choice(scraps) for _ in range(rng.randrange(1, 6))) for _ in range(2000)]
+    made = [" " + " ".join(words[at : at + 200]) for at in range(0, len(words), 200)]
+    encoder = byte_bpe.chunk_encoder(vocabulary)
+    ids, rows = encoder.encode(*flat(pa.array(made)))
+    for i, text in enumerate(made):
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids[rows[i] : rows[i + 1]].tolist() == expected
+    # The line end's own ids, and one text for each group.
+    assert sum(given) == 1 + -(-encoder._count // byte_bpe.JOINED)
+
+
 @pytest.mark.parametrize(
     "values",
     [
